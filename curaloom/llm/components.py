@@ -1,0 +1,54 @@
+"""Connected components of a distributed edge list, by hooking, pointer doubling and contraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from curaloom.llm import runtime
+
+
+def _roots(parent: DataFrame) -> DataFrame:
+    """(node, root) of a forest given as (node, up) with up < node for every node that has a parent."""
+    while True:
+        above = parent.select(F.col("node").alias("up"), F.col("up").alias("upper"))
+        step = parent.join(above, "up", "left").select("node", F.coalesce("upper", "up").alias("next"), F.col("upper").isNotNull().alias("moved"))
+        step = runtime.written(step, "roots", 8)
+        moved = not step.where("moved").isEmpty()
+        parent = step.select("node", F.col("next").alias("up"))
+        if not moved:
+            return parent
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): the smallest node reachable, for every node of edges (a, b) that isn't its own root.
+
+    Each round hooks every node to its smallest smaller neighbour, follows the parents to their
+    roots by doubling and contracts the edges; the nodes that remain at least halve. Only joins and
+    partial aggregates are used, so a node with very many edges is not gathered in one task.
+    """
+    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+    total = None
+    while True:
+        parent = runtime.written(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")), "parents", 8)
+        if parent.isEmpty():
+            return total if total is not None else parent.select("node", F.col("up").alias("root"))
+        roots = _roots(parent).select("node", F.col("up").alias("root"))
+        if total is None:
+            total = roots
+        else:
+            again = roots.select(F.col("node").alias("root"), F.col("root").alias("upper"))
+            moved = total.join(again, "root", "left").select("node", F.coalesce("upper", "root").alias("root"))
+            total = moved.unionByName(roots)
+        total = runtime.written(total, "labels", 8)
+        edges = relabel(edges, roots)
+        edges = runtime.written(edges.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b"), "contracted", 8)
+
+
+def relabel(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) between the roots of their ends, smaller first; pairs within a component go."""
+    left = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
+    right = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
+    joined = pairs.join(left, "a", "left").join(right, "b", "left")
+    a, b = F.coalesce("_ra", "a"), F.coalesce("_rb", "b")
+    return joined.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b")
