@@ -1,10 +1,9 @@
 """All queries of this subpackage and their SQL, and the pipeline's."""
 
 import corpus_pipeline
-from curaloom.llm import queries_dedup
+from curaloom.llm import queries_decontam, queries_dedup
 
-QUERIES = {
-    "op9_minhash_neardup": queries_dedup.op9_minhash_neardup,
-    "pipeline": corpus_pipeline.run,
-}
-ORACLE_SQL = {**queries_dedup.SQL, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+_MODULES = (queries_decontam, queries_dedup)
+
+QUERIES = {name: f for m in _MODULES for name, f in vars(m).items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
+ORACLE_SQL = {k: q for m in _MODULES for k, q in m.SQL.items()} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
