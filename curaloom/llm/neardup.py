@@ -6,10 +6,11 @@ A pair of similarity s misses all tables with probability of about 2 * (1 - s**H
 threshold of 0.75 one in 10,000, at 0.85 one in two million.
 
 Documents with equal shingle sets are one class. Within a table's bucket the classes, in order of id,
-are paired with the first and with the two before; no bucket emits all its pairs. Pairs are verified
-with the first partner before the others; pairs that earlier links already connect need no check.
-Buckets of up to four classes are thereby complete. In larger ones that still hold several components,
-fresh orders are tried until a round links nothing more.
+are paired with the first and with the one before; no bucket emits all its pairs. One partner of each
+class is verified first; pairs that those links already connect need no check. Buckets of up to three
+classes are thereby complete. For larger ones that still hold several components, every component of a
+bucket sends one random member a round, paired as before, until a round links nothing more; these rounds
+use the SIDE tables that combine equally numbered half-keys.
 """
 
 from __future__ import annotations
@@ -109,18 +110,24 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return runtime.written(rows.mapInArrow(_verify, "a long, b long"), "links", 8)
 
 
-def _neighbours(buckets: DataFrame, order: list) -> DataFrame:
-    """Rows (key, id, n) of buckets of several, with size and, as o, each partner: the first and the two before."""
-    w = Window.partitionBy("key").orderBy(*order)
-    ends = F.struct("id", "n")
-    size = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    seen = buckets.select("key", "id", "n", F.first(ends).over(w).alias("c"), F.lag(ends, 1).over(w).alias("p"), F.lag(ends, 2).over(w).alias("q"), size.alias("size"))
-    return seen.where("size > 1")
+def _tables(classes: DataFrame, diagonal: bool = False) -> DataFrame:
+    """(key, id, n) for every class and table, or for the tables with i = j only."""
+    sides = classes.select("id", "n", "right", F.posexplode_outer("left").alias("i", "l"))
+    if diagonal:
+        return sides.select(F.xxhash64("i", "l", "i", F.element_at("right", F.col("i") + 1)).alias("key"), "id", "n")
+    tables = sides.select("id", "n", "i", "l", F.posexplode_outer("right").alias("j", "r"))
+    return tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", "n")
+
 
+def _paired(buckets: DataFrame, order: list) -> DataFrame:
+    """Of each bucket, every row with the first and with the one before it, as pairs (a, b), a < b, each once.
 
-def _paired(seen: DataFrame) -> DataFrame:
-    """The neighbours as pairs (a, b), a < b, each once; pairs whose sizes already rule them out go."""
-    pairs = seen.select("id", "n", F.explode_outer(F.array_distinct(F.array("c", "p", "q"))).alias("o")).where("o is not null and o.id <> id")
+    Pairs whose sizes already rule them out go.
+    """
+    w = Window.partitionBy("key").orderBy(*order)
+    ends = F.struct("id", "n")
+    seen = buckets.select("id", "n", F.first(ends).over(w).alias("c"), F.lag(ends, 1).over(w).alias("p")).where("p is not null")
+    pairs = seen.select("id", "n", F.explode_outer(F.array_distinct(F.array("c", "p"))).alias("o")).where("o.id <> id")
     near = F.least("n", "o.n") * 100 >= F.greatest("n", "o.n") * PERCENT
     pairs = pairs.where(near).select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b"))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tables")).select("a", "b")
@@ -133,12 +140,18 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _undecided(seen: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, id, n) of the buckets of more than four that still hold several components."""
-    rows = seen.where("size > 4").select("key", "id", "n")
-    rows = rows.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-    open_keys = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    return rows.join(open_keys, "key").select("key", "id", "n")
+def _crowded(buckets: DataFrame) -> DataFrame:
+    """The rows of the buckets of more than three."""
+    every = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return buckets.withColumn("size", F.count(F.lit(1)).over(every)).where("size > 3").select("key", "id", "n")
+
+
+def _delegates(crowded: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """One random member (key, id, n) of every component in every crowded bucket."""
+    rows = crowded.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n")
+    drawn = rows.groupBy("key", F.coalesce("root", "id").alias("root")).agg(F.min(draw).alias("d"))
+    return drawn.select("key", "d.id", "d.n")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -153,26 +166,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.count(F.lit(1)).alias("copies")
     )
     classes = runtime.written(classes, "classes")
-    sides = classes.select("id", "n", "right", F.posexplode_outer("left").alias("i", "l"))
-    tables = sides.select("id", "n", "i", "l", F.posexplode_outer("right").alias("j", "r"))
-    buckets = tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", "n")
-    seen = runtime.written(_neighbours(buckets, ["id"]), "buckets")
-    pairs = runtime.written(_paired(seen), "pairs", 16)
+    pairs = runtime.written(_paired(_tables(classes), ["id"]), "pairs", 16)
 
     # one partner for each class first; most of what remains is then connected already
     one = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = _checked(docs, one)
     roots = components(links)
     rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest", 8)
-    turn = 0
-    while not rest.isEmpty():
-        more = _checked(docs, rest)
-        if turn and more.isEmpty():
+    turn, crowded = 0, None
+    while True:
+        if not rest.isEmpty():
+            more = _checked(docs, rest)
+            if turn and more.isEmpty():
+                break
+            links = links.unionByName(more)
+            roots = components(links)
+        elif turn:
             break
-        links = links.unionByName(more)
-        roots = components(links)
         turn += 1
-        again = _paired(_neighbours(_undecided(seen, roots), [F.xxhash64("id", F.lit(turn))]))
+        if crowded is None:
+            crowded = runtime.written(_crowded(_tables(classes, diagonal=True)), "crowded")
+        again = _paired(_delegates(crowded, roots, turn), [F.xxhash64("id", F.lit(turn))])
         fresh = _apart(again.join(pairs, ["a", "b"], "left_anti"), roots)
         rest = runtime.written(fresh, "rest", 8)
         pairs = pairs.unionByName(rest)

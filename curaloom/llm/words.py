@@ -29,7 +29,8 @@ def spread(n: int, seed: int) -> np.ndarray:
 
 IS_SEP = np.zeros(256, bool)
 IS_SEP[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE = spread(256, 11)
+_CASED = spread(256, 11)
+_BYTE = _CASED.copy()
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 _STEP = np.uint64(0xA24BAED4963EE407)
 _POWERS = np.ones(1, np.uint64)
@@ -44,24 +45,29 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def _segment(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment(data: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and hash of each word."""
     at = np.flatnonzero(~IS_SEP[data])
     if not at.size:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     first = np.empty(at.size, bool)
     first[0] = True
     np.not_equal(at[1:], at[:-1] + 1, out=first[1:])
     begin = np.flatnonzero(first)
     length = np.diff(begin, append=at.size)
     place = np.arange(at.size) - np.repeat(begin, length)
-    value = _BYTE[data[at]] * _powers(int(length.max()))[place]
-    return at[begin], mix(np.add.reduceat(value, begin) + length.astype(np.uint64) * np.uint64(_GOLD))
+    value = values[data[at]] * _powers(int(length.max()))[place]
+    return at[begin], length, mix(np.add.reduceat(value, begin) + length.astype(np.uint64) * np.uint64(_GOLD))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts, in order, and each text's bounds in them (len(texts)+1)."""
+def word_spans(texts: list[bytes], cased: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as one byte array; start, length and 64-bit hash of all words in it, in order; each text's bounds in them.
+
+    cased keeps A-Z apart from a-z.
+    """
+    values = _CASED if cased else _BYTE
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    starts, hashes, at = [], [], 0
+    starts, lengths, hashes, at = [], [], [], 0
     while at < data.size:
         end = min(at + _SEGMENT, data.size)
         while end < data.size:  # move the cut to just after a separator
@@ -73,14 +79,20 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             end = end + int(ahead[0]) + 1 if ahead.size else min(end + _SEGMENT, data.size)
             if ahead.size:
                 break
-        s, h = _segment(data[at:end])
+        s, n, h = _segment(data[at:end], values)
         starts.append(s + at)
+        lengths.append(n)
         hashes.append(h)
         at = end
-    start = np.concatenate(starts) if starts else np.empty(0, np.int64)
+    start, length, word = (np.concatenate(x) for x in (starts, lengths, hashes))
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    edges = np.concatenate([[0], np.cumsum(sizes)])
-    return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), np.searchsorted(start, edges)
+    return data, start, length, word, np.searchsorted(start, np.concatenate([[0], np.cumsum(sizes)]))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, in order, and each text's bounds in them (len(texts)+1)."""
+    _, _, _, word, bounds = word_spans(texts)
+    return word, bounds
 
 
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
