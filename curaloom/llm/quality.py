@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network.
 
 Terms are the words of a bounded vocabulary and, for all other words, one of a fixed set of word shapes
-(case, ending, length). Every term has a sparse ternary index vector drawn from its hash; its context
+(case, ending, length); a word that repeats the one before it is a term of its own. Every term has a sparse ternary index vector drawn from its hash; its context
 vector sums the index vectors of the terms up to WINDOW places away, rotated by side, over the sample.
 A term's word vector joins both. A document is pooled as mean and deviation of its word vectors over
 all its words. A two-layer numpy network gives a logit, which a temperature fitted on documents that
@@ -26,7 +26,9 @@ HIDDEN, STEPS, RATE, DECAY = 32, 400, 0.01, 1e-3
 ACCEPT = 0.7
 
 _CASES, _ENDS, _LENGTHS = 4, 12, 4
-SHAPES = _CASES * _ENDS * _LENGTHS
+_KINDS = _CASES * _ENDS * _LENGTHS
+#: Shape terms, and the term of repeated words.
+SHAPES = _KINDS + 1
 _END = np.zeros(256, np.int64)
 for _i, _chars in enumerate((b".", b",", b"!", b"?", b";:", b"0123456789", b"\"')]}", b"*", b"$%&#@", b"|-_/\\<>=+~^`"), start=1):
     _END[list(_chars)] = _i
@@ -38,7 +40,7 @@ _LOWER[97:123] = True
 
 
 def _shapes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """A number below SHAPES for each word, by its case, last byte and length."""
+    """A number below _KINDS for each word, by its case, last byte and length."""
     if not start.size:
         return np.empty(0, np.int64)
     ups = np.concatenate([[0], np.cumsum(_UPPER[data])])
@@ -54,10 +56,14 @@ def terms(texts: list[bytes], vocabulary: np.ndarray) -> tuple[np.ndarray, np.nd
     """Term number of every word (vocabulary words first, then shapes) and each text's bounds."""
     data, start, length, word, bounds = words.word_spans(texts, cased=True)
     shape = _shapes(data, start, length) + vocabulary.size
-    if not vocabulary.size:
-        return shape, bounds
-    at = np.minimum(np.searchsorted(vocabulary, word), vocabulary.size - 1)
-    return np.where(vocabulary[at] == word, at, shape), bounds
+    if vocabulary.size:
+        at = np.minimum(np.searchsorted(vocabulary, word), vocabulary.size - 1)
+        shape = np.where(vocabulary[at] == word, at, shape)
+    again = np.zeros(word.size, bool)
+    np.equal(word[1:], word[:-1], out=again[1:])
+    again[bounds[:-1][bounds[:-1] < word.size]] = False
+    shape[again] = vocabulary.size + _KINDS
+    return shape, bounds
 
 
 def index_vectors(vocabulary: np.ndarray) -> np.ndarray:
