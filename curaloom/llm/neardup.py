@@ -199,3 +199,21 @@ def _labelled(spark: SparkSession, rows: DataFrame, classes: DataFrame, roots: D
     out = rows.select("doc_id", "n_shingles", "sig").join(named, "sig", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def _chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """docs semi- or anti-joined with ids, broadcast where few."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", how).select(*docs.columns)
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stay: of each component the document of the smallest id, once; rows without an id stay."""
+    rows = runtime.written(near_duplicates(docs).select("doc_id", "kept"), "kept", 16)
+    per_id = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    per_id = runtime.written(per_id.where("not kept or n > 1"), "decided", 8)
+    out = _chosen(docs, per_id.select("doc_id"), "left_anti")
+    twice = per_id.where("kept")
+    if twice.isEmpty():
+        return out
+    return out.unionByName(_chosen(docs, twice.select("doc_id"), "left_semi").dropDuplicates(["doc_id"]))
