@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from curaloom import config as c
 from curaloom.functions import text as t
@@ -92,7 +93,7 @@ class Endpoint:
             for frame in frames:
                 yield frame.assign(response=pd.Series([one(s, u) for s, u in zip(frame["system"], frame["input"], strict=True)], index=frame.index, dtype=object))
 
-        return records.mapInPandas(run, records.schema.add("response", "string"))
+        return records.mapInPandas(run, StructType([*records.schema.fields, StructField("response", StringType())]))
 
 
 @dataclass(frozen=True)
@@ -134,7 +135,8 @@ def evaluated(records: DataFrame, who, config: c.HarnessConfig = c.HarnessConfig
 
     rows = who.responses(records).withColumn("cwe", t.cwe_strict(F.col("cwe"))).withColumn("_code", t.java_code(F.col("response")))
     javac, semgrep = verify.probed(config)
-    schema = rows.schema.add("compiles", "boolean").add("vuln_fixed", "boolean").add("compile_detail", "string").add("vuln_detail", "string")
+    kinds = {"compiles": BooleanType(), "vuln_fixed": BooleanType(), "compile_detail": StringType(), "vuln_detail": StringType()}
+    schema = StructType([*rows.schema.fields, *(StructField(n, k) for n, k in kinds.items())])
 
     def run(frames):
         missing = "no java code block found"
