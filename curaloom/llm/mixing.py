@@ -97,7 +97,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: the rows of docs once for each epoch that takes them, with epoch (from 1) and taken words.
+    """The mix itself: the rows of docs once for each epoch that takes them, with epoch (from 1) and taken words,
+    which replace columns of these names.
 
     The document at a source's cut keeps its first words, joined by a space; its n_chars, if there, follows.
     Texts are not shuffled: one row a source says where its order is cut.
@@ -108,7 +109,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     cuts = runtime.written(cuts, "cuts", 1)
     if cuts.count() <= 100_000:  # one row a source
         cuts = F.broadcast(cuts)
-    columns = docs.columns
+    columns = [x for x in docs.columns if x not in ("epoch", "taken")]
     rows = docs.withColumn("_part", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
     rows = rows.join(cuts.select(*(F.col(c).alias(f"_{c}") for c in ("part", "cut", "epochs", "rest"))), "_part")
     size = n_words(F.col("text"))

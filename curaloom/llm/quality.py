@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from curaloom.llm import runtime, words
 
@@ -226,8 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(vocabulary, vectors, train(x, y, share[y.astype(int)]))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with score appended; nulls score as empty texts."""
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """docs with the score appended under name; nulls score as empty texts."""
     spark = docs.sparkSession
     runtime.bound_batches(spark)
     shipped = spark.sparkContext.broadcast(model)
@@ -235,10 +236,10 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in batches:
             score = shipped.value([t or b"" for t in batch.column("_utf8").to_pylist()])
-            yield pa.RecordBatch.from_arrays([c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_utf8"] + [pa.array(score, pa.float64())], names=[n for n in batch.schema.names if n != "_utf8"] + ["score"])
+            yield pa.RecordBatch.from_arrays([c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_utf8"] + [pa.array(score, pa.float64())], names=[n for n in batch.schema.names if n != "_utf8"] + [name])
 
     rows = docs.withColumn("_utf8", _text(docs))
-    schema = docs.schema.add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -251,4 +252,4 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier accepts."""
     columns = docs.columns
-    return scored(docs, fit(docs, labels)).where(F.col("score") >= ACCEPT).select(*columns)
+    return scored(docs, fit(docs, labels), "_quality").where(F.col("_quality") >= ACCEPT).select(*columns)
