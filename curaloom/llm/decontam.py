@@ -115,9 +115,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     start counts words from 0; of equal windows the first counts. Null or short texts match nothing; repeated rows
     are searched like one another, and rows without an id are reported with a null one.
     """
-    items = runtime.written(items_of(benchmark), "items", 1)
+    items = runtime.written(items_of(benchmark), "items")
     index = items.select("item_id", "len", F.posexplode_outer(_bound(F.col("words"), lambda w: _hashes(w))).alias("offset", "h"))
-    index = runtime.written(index, "index", 4)
+    index = runtime.written(index, "index")
     bounds = index.agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("shortest")).first()
     few = bounds["n"] <= BROADCAST_ROWS
     stride = 3 if (bounds["shortest"] or 0) >= WIDTH + 2 else 1
@@ -126,7 +126,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = index.select("h").distinct()
     probes = keyed.select("doc_id", F.explode_outer(_bound(_words(F.col("text")), lambda w: _hashes(w, stride))).alias("h"))
     hit = probes.join(F.broadcast(near) if few else near, "h", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
-    hit = runtime.written(hit.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("k")), "hit", 8)
+    hit = runtime.written(hit.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("k")), "hit")
     small = hit.count() <= BROADCAST_ROWS
     looked = keyed.withColumn("k", F.coalesce("doc_id", F.lit(-(2**63)))).join(F.broadcast(hit) if small else hit, "k", "left_semi")
     looked = runtime.written(looked.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", _words(F.col("text")).alias("words")).dropDuplicates(["row", "doc_id"]), "looked")

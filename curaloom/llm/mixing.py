@@ -106,7 +106,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     ranked = _ranked(docs)
     open_end = F.struct("key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "size", "before")
     cuts = ranked.groupBy("part").agg(F.min(F.when(F.col("before") + F.col("size") > F.col("rest"), open_end)).alias("cut"), F.first("epochs").alias("epochs"), F.first("rest").alias("rest"))
-    cuts = runtime.written(cuts, "cuts", 1)
+    cuts = runtime.written(cuts, "cuts")
     if cuts.count() <= 100_000:  # one row a source
         cuts = F.broadcast(cuts)
     columns = [x for x in docs.columns if x not in ("epoch", "taken")]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curaloom.llm import runtime, words
-from curaloom.llm.components import components
+from curaloom.operators.components import components
 
 WIDTH, PERCENT = 5, 75
 SIDE, HALF = 12, 2
@@ -94,7 +94,7 @@ def _verify(batches):
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, text) of the documents that the pairs name."""
     spark = docs.sparkSession
-    ids = runtime.written(pairs.select(F.explode_outer(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).select("id"), "ids", 8)
+    ids = runtime.written(pairs.select(F.explode_outer(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).select("id"), "ids")
     few = ids.count() <= BROADCAST_IDS
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").cast("binary").alias("text"))
     picked = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
@@ -107,7 +107,7 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("s"))
     second = texts.select(F.col("id").alias("b"), F.col("text").alias("t"))
     rows = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "s", "t")
-    return runtime.written(rows.mapInArrow(_verify, "a long, b long"), "links", 8)
+    return runtime.written(rows.mapInArrow(_verify, "a long, b long"), "links")
 
 
 def _tables(classes: DataFrame, diagonal: bool = False) -> DataFrame:
@@ -166,13 +166,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.count(F.lit(1)).alias("copies")
     )
     classes = runtime.written(classes, "classes")
-    pairs = runtime.written(_paired(_tables(classes), ["id"]), "pairs", 16)
+    pairs = runtime.written(_paired(_tables(classes), ["id"]), "pairs")
 
     # one partner for each class first; most of what remains is then connected already
     one = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = _checked(docs, one)
     roots = components(links)
-    rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest", 8)
+    rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest")
     turn, crowded = 0, None
     while True:
         if not rest.isEmpty():
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             crowded = runtime.written(_crowded(_tables(classes, diagonal=True)), "crowded")
         again = _paired(_delegates(crowded, roots, turn), [F.xxhash64("id", F.lit(turn))])
         fresh = _apart(again.join(pairs, ["a", "b"], "left_anti"), roots)
-        rest = runtime.written(fresh, "rest", 8)
+        rest = runtime.written(fresh, "rest")
         pairs = pairs.unionByName(rest)
     return _labelled(spark, rows, classes, roots)
 
@@ -209,9 +209,9 @@ def _chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: of each component the document of the smallest id, once; rows without an id stay."""
-    rows = runtime.written(near_duplicates(docs).select("doc_id", "kept"), "kept", 16)
+    rows = runtime.written(near_duplicates(docs).select("doc_id", "kept"), "kept")
     per_id = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    per_id = runtime.written(per_id.where("not kept or n > 1"), "decided", 8)
+    per_id = runtime.written(per_id.where("not kept or n > 1"), "decided")
     out = _chosen(docs, per_id.select("doc_id"), "left_anti")
     twice = per_id.where("kept")
     if twice.isEmpty():

@@ -187,9 +187,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if len(counts) < 2:
         return Model(np.empty(0, np.uint64), np.empty((0, 0)), None)
     lowest = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for y in (0, 1)]
-    sample = runtime.written(lowest[0].unionByName(lowest[1]), "labelled", 1)
+    sample = runtime.written(lowest[0].unionByName(lowest[1]), "labelled")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text(docs)).join(F.broadcast(sample), "doc_id")  # 2 * PER_CLASS rows at most
-    rows = runtime.written(rows, "sample", 6)
+    rows = runtime.written(rows.repartition(6), "sample")
 
     def counted(batches):
         for batch in batches:

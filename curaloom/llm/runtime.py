@@ -1,58 +1,15 @@
-"""What the operators share of the session: written tables in the shared folder and batch bounds."""
+"""What the operators share: written tables, the bound of Arrow batches, tables by name."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-#: Arrow batches end at this many bytes, so that very long texts don't pile up in a Python worker.
-BATCH_BYTES = "8m"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Only where the session names none (local tests) a temporary folder is set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="curaloom-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
+from curaloom.storage import fresh_path, shared_folder, written
 
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_folder(spark)}/curaloom-{tag}-{uuid.uuid4().hex}"
+__all__ = ["bound_batches", "fresh_path", "shared_folder", "table", "written"]
 
-
-def written(df: DataFrame, tag: str, partitions: int | None = None) -> DataFrame:
-    """df written as a table in the shared folder and read back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = fresh_path(spark, tag)
-    out = df.coalesce(partitions) if partitions else df
-    out.write.option("compression", "zstd").parquet(path)
-    _forget(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _forget(spark: SparkSession, path: str) -> None:
-    """Delete the table when the session's process ends."""
-    atexit.register(delete, spark, path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Hadoop's file system, whatever the store; a stopped session is left alone."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001  the gateway may be gone at exit
-        pass
+#: Arrow batches end at this many bytes, so that very long texts don't pile up in a Python worker.
+BATCH_BYTES = "8m"
 
 
 def bound_batches(spark: SparkSession) -> None:

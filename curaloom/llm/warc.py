@@ -154,7 +154,6 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     runtime.bound_batches(spark)
     folder = folder or runtime.fresh_path(spark, "warc")
-    runtime._forget(spark, folder)
 
     def run(batches):
         from pyarrow import fs
