@@ -1,7 +1,8 @@
 """Personal data with offset-preserving deobfuscation.
 
 Two transducers run over every whole text. The first replaces homoglyphs one for one, so offsets stay.
-The second rewrites at/dot disguises, spelled digits and invisible characters and records each edit; the
+The second rewrites at/dot disguises, spelled digits, letters that stand for digits between digits, and
+invisible characters, and records each edit; the
 identifiers found in what it writes are mapped back through the edits to source characters. The plain
 patterns run on the source itself, too; their spans always stay, and a mapped span is added unless a
 plain one of its kind covers it. All patterns are searched without backtracking over long runs.
@@ -90,13 +91,14 @@ _NUMBER = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
 _AT, _DOT = "(?:at|arroba|@)", r"(?:dot|punkt|punto|point|\.)"
 _DISGUISED = re.compile(
     rf"(?P<zero>[­​-‍⁠﻿]+)"
-    rf"|(?P<at>[ ]?[\[({{<][ ]?{_AT}[ ]?[\])}}>][ ]?)"
-    rf"|(?P<dot>[ ]?[\[({{<][ ]?{_DOT}[ ]?[\])}}>][ ]?)"
+    rf"|(?P<at>[ ]?[\[({{<][ ]?{_AT}[ ]?[\])}}>][ ]?|&(?:\#0*64|\#x0*40|commat);)"
+    rf"|(?P<dot>[ ]?[\[({{<][ ]?{_DOT}[ ]?[\])}}>][ ]?|&(?:\#0*46|\#x0*2e|period);)"
+    rf"|(?P<nought>(?<=[0-9])[Oo](?=[0-9]))|(?P<one>(?<=[0-9])[Il](?=[0-9]))"
     rf"|(?P<run>(?<!\w)(?:plus[ -]?)?(?:[0-9]{{1,4}}[ ,.-]{{1,2}}){{0,8}}{_NUMBER}(?:[ ,-]{{1,2}}(?:{_NUMBER}|[0-9]{{1,4}})(?!\w))+(?!\w))"
     rf"|(?P<plain>(?<=[A-Za-z0-9])[ ](?:at|dot)[ ](?=[A-Za-z0-9]))",
     re.IGNORECASE,
 )
-_TRIGGER = re.compile(rf"[­​-‍⁠﻿\[({{<]|(?<!\w)(?:{_NUMBER}[ ,-]{{1,2}}(?:{_NUMBER}|[0-9])|dot[ ])", re.IGNORECASE)
+_TRIGGER = re.compile(rf"&(?:\#|commat;|period;)|[0-9][OoIl][0-9]|[­​-‍⁠﻿\[({{<]|(?<!\w)(?:{_NUMBER}[ ,-]{{1,2}}(?:{_NUMBER}|[0-9])|dot[ ])", re.IGNORECASE)
 _PIECE = re.compile(rf"plus|{_NUMBER}|[0-9]+", re.IGNORECASE)
 # Last labels that a bare "x at y dot z" must end in to be taken for an address.
 _LAST = "(?:com|org|net|edu|gov|mil|int|info|biz|name|io|ai|app|dev|co|me|eu|uk|us|ca|au|de|at|ch|fr|be|es|mx|it|nl|pt|br|pl|se|jp|cn|in|ru)"
@@ -150,7 +152,7 @@ def undisguised(text: str) -> Edits:
                 continue
             found.append((*m.span(), "@" if word == "at" else "."))
         else:
-            found.append((*m.span(), {"zero": "", "at": "@", "dot": "."}.get(kind) if kind != "run" else _digits(m[0])))
+            found.append((*m.span(), {"zero": "", "at": "@", "dot": ".", "nought": "0", "one": "1"}.get(kind) if kind != "run" else _digits(m[0])))
     return Edits(text, found)
 
 

@@ -49,6 +49,9 @@ def test_base_equals_the_patterns_on_random_texts():
         ("host 192 dot 168 dot 10 dot 1 is", "ip", "192 dot 168 dot 10 dot 1"),
         ("host 192[.]168[.]10[.]1 is", "ip", "192[.]168[.]10[.]1"),
         ("card four one one one one one one one one one one one one one one one end", "card", "four one one one one one one one one one one one one one one one"),
+        ("jane&#64;example&period;com", "email", "jane&#64;example&period;com"),
+        ("call +1 (7O6) 555-3l38 now", "phone", "+1 (7O6) 555-3l38"),
+        ("call +1 (724) five five five 7058 now", "phone", "+1 (724) five five five 7058"),
         ("ja​ne@exam​ple.com", "email", "ja​ne@exam​ple.com"),
     ],
 )
