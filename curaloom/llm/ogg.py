@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from curaloom.llm import runtime
 
 RATE, PACKET, ALIGN = 8000, 4096, 64
-_HEADER = struct.Struct("<4sBBqIIIB")
+_HEADER = "<4sBBqIIIB"
 _CONTINUED, _FIRST, _LAST = 1, 2, 4
 _REVERSED = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
 
@@ -42,7 +42,7 @@ def page_crc(page: bytes) -> int:
 
 
 def _page(flags: int, granule: int, serial: int, number: int, lacing: bytes, body: bytes) -> bytes:
-    head = _HEADER.pack(b"OggS", 0, flags, granule, serial, number, 0, len(lacing)) + lacing
+    head = struct.pack(_HEADER, b"OggS", 0, flags, granule, serial, number, 0, len(lacing)) + lacing
     crc = page_crc(head + body)
     return head[:22] + crc.to_bytes(4, "little") + head[26:] + body
 
@@ -110,7 +110,7 @@ def demultiplexed(media: bytes) -> dict[int, Stream]:
     while at < len(media):
         if at + 27 > len(media):
             raise OggError("truncated header")
-        magic, version, flags, granule, serial, number, crc, n = _HEADER.unpack_from(media, at)
+        magic, version, flags, granule, serial, number, crc, n = struct.unpack_from(_HEADER, media, at)
         if magic != b"OggS" or version:
             raise OggError("no page here")
         lacing = media[at + 27 : at + 27 + n]

@@ -231,11 +231,12 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with the score appended under name; nulls score as empty texts."""
     spark = docs.sparkSession
     runtime.bound_batches(spark)
-    shipped = spark.sparkContext.broadcast(model)
+    shipped = spark.sparkContext.broadcast((model.vocabulary, model.vectors, model.net))
 
     def run(batches):
+        mine = Model(*shipped.value)
         for batch in batches:
-            score = shipped.value([t or b"" for t in batch.column("_utf8").to_pylist()])
+            score = mine([t or b"" for t in batch.column("_utf8").to_pylist()])
             yield pa.RecordBatch.from_arrays([c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_utf8"] + [pa.array(score, pa.float64())], names=[n for n in batch.schema.names if n != "_utf8"] + [name])
 
     rows = docs.withColumn("_utf8", _text(docs))
