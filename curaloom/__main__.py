@@ -7,7 +7,7 @@ import json
 from pyspark.sql import SparkSession
 
 from curaloom import config as c
-from curaloom.operators import generate, score
+from curaloom.operators import demo, generate, score
 from curaloom.plans.prepare import prepare
 from curaloom.sources import records
 
@@ -25,6 +25,7 @@ def main(args: list[str] | None = None) -> None:
     one.add_argument("--no-compile-filter", dest="compile_filter", action="store_false", default=None)
     one.add_argument("--semgrep-filter", action="store_true", default=None)
     one.add_argument("--replay-file")
+    one.add_argument("--make-demo-data", action="store_true", help="write demo pairs as CSV into the raw folder and exit")
     two = commands.add_parser("evaluate")
     two.add_argument("--test-file", required=True)
     two.add_argument("--out-dir", required=True)
@@ -41,7 +42,9 @@ def main(args: list[str] | None = None) -> None:
         sub.add_argument("--rules", help="folder of cwe_<n>.yml for the scanner")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("curaloom").getOrCreate()
-    if a.command == "prepare":
+    if a.command == "prepare" and a.make_demo_data:
+        records.write_pairs(demo.pairs(spark).orderBy("ord").coalesce(1), f"{a.raw_dir}/demo_pairs")
+    elif a.command == "prepare":
         given = {k: v for k in ("seed", "max_chars", "negatives_frac", "compile_filter", "semgrep_filter") if (v := getattr(a, k)) is not None}
         stats = prepare(spark, a.raw_dir, a.out_dir, a.parser, a.replay_file, dataclasses.replace(c.PrepConfig.from_env(), **given), rules=a.rules)
         print(records.stats_table(stats, stats["drops"]))

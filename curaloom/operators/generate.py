@@ -112,7 +112,11 @@ class Local:
 
 
 def client(spec: str):
-    """mock:<mode>, openai:<base url>#<model> or hf:<model>[#adapter=<path>]."""
+    """mock:<mode>, openai:<base url>#<model> or hf:<model>[#adapter=<path>]; mock alone generates demo pairs."""
+    if spec == "mock":
+        from curaloom.operators.demo import DemoClient
+
+        return DemoClient()
     kind, _, rest = spec.partition(":")
     if kind == "mock":
         return Mock(rest)

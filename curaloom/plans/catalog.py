@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from curaloom import config as c
 from curaloom.functions import java
 from curaloom.functions import text as t
-from curaloom.operators import clean, generate, score, similar, splitting, verify
+from curaloom.operators import approximate, clean, demo, generate, score, similar, splitting, verify
 from curaloom.sources import pairs as pair_sources
 from curaloom.sources import records
 from curaloom.storage import fresh_path, written
@@ -408,6 +408,29 @@ def augment_prompts(spark, sf):
     return generate.attempts(seeds, 2).select("cwe", "attempt", F.sha2("input", 256).alias("input_sha"))
 
 
+@_query("SELECT cwe, n::BIGINT AS attempt, 'admitted' AS status, sha256('Generated' || n) AS name_sha FROM (SELECT unnest(['CWE-89', 'CWE-22', 'CWE-78']) AS cwe), (SELECT unnest(range(1, 5)) AS n)")
+def augment_demo(spark, sf):
+    tools = c.HarnessConfig(javac_bin="no-compiler-asked-for")
+    rows = generate.augmented(demo.pairs(spark), demo.DemoClient(), 4, config=tools)
+    return rows.select("cwe", "attempt", "status", F.sha2(t.main_type(F.col("fixed_code")), 256).alias("name_sha"))
+
+
+@_query("SELECT cwe, 'kept' AS outcome, 6 AS n FROM (SELECT unnest(['CWE-89', 'CWE-22', 'CWE-78']) AS cwe) UNION ALL SELECT 'CWE-89', 'duplicate', 1")
+def demo_funnel(spark, sf):
+    return clean.judged(demo.pairs(spark)).groupBy("cwe", F.coalesce("drop_reason", F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+_CALLS = ('db.executeQuery("a" + b);', "db.executeQuery(sql);", 'db.executeQuery("a");', 'new File("a", name);', 'new File("a" + name);', 'new File("a");', "rt.exec(cmd);", 'rt.exec(new String[] {"sh", "-c", cmd});', 'new ProcessBuilder("/bin/bash", "-c", cmd);', 'pb.command("ls" + x);', "q = file.getCanonicalPath();", "f();")
+_CALLED = "CASE doc_id % 12 " + " ".join(f"WHEN {i} THEN {_q(x)}" for i, x in enumerate(_CALLS)) + " END || chr(10) || CASE doc_id // 12 % 12 " + " ".join(f"WHEN {i} THEN {_q(x)}" for i, x in enumerate(_CALLS)) + " END"
+
+
+@_query(f"WITH e AS (SELECT doc_id, {_CALLED} AS code FROM documents) SELECT doc_id, " + ", ".join("concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(code, {_q(p)})" + (f" AND NOT regexp_matches(code, {_q(m)})" if m else "") + f" THEN '{n}' END" for n, (k, p, m) in approximate.RULES.items() if k == cwe) + f") AS found_{cwe[4:]}" for cwe in c.TARGET_CWES) + " FROM e")
+def approximate_findings(spark, sf):
+    calls = F.array(*(F.lit(x) for x in _CALLS))
+    code = F.concat(calls[(F.col("doc_id") % 12).cast("int")], F.lit("\n"), calls[(F.floor(F.col("doc_id") / 12) % 12).cast("int")])
+    return _table(spark, sf, "documents").select("doc_id", *(F.array_join(approximate.findings(code, F.lit(k)), ",").alias(f"found_{k[4:]}") for k in c.TARGET_CWES))
+
+
 # --- sources and sinks ---------------------------------------------------------------------------
 
 

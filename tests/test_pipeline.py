@@ -206,6 +206,31 @@ def test_augmentation(spark):
     assert "CWE-89 (SQL Injection" in generate.attempts(seeds, 1).where("cwe = 'CWE-89'").first().input
 
 
+def test_demo_pairs_compile_and_differ_in_findings(spark):
+    from curaloom.operators import approximate, demo
+
+    rows = demo.pairs(spark)
+    assert rows.count() == 19
+    seen = rows.select("cwe", approximate.clean(F.col("vulnerable_code"), F.col("cwe")).alias("v"), approximate.clean(F.col("fixed_code"), F.col("cwe")).alias("f")).distinct().collect()
+    assert {(x.cwe, x.v) for x in seen} == {(k, False) for k in c.TARGET_CWES} and all(x.f for x in seen)
+    if verify.probed(c.HarnessConfig())[0]:
+        for r in rows.dropDuplicates(["cwe"]).collect():
+            assert verify.compiles(r.vulnerable_code, c.HarnessConfig())[0] and verify.compiles(r.fixed_code, c.HarnessConfig())[0]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from curaloom.__main__ import main
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    main(["prepare", "--raw-dir", raw, "--out-dir", out, "--make-demo-data"])
+    main(["prepare", "--raw-dir", raw, "--out-dir", out, "--no-compile-filter"])
+    assert '"duplicate": 1' in capsys.readouterr().out
+    main(["augment", "--seed-file", f"{out}/splits/split=train", "--out", f"{out}/more", "--spec", "mock", "--per-cwe", "2"])
+    assert '"admitted": 6' in capsys.readouterr().out
+    main(["evaluate", "--test-file", f"{out}/splits/split=test", "--out-dir", f"{out}/eval", "--limit", "2"])
+    assert "| format rate | 100%" in capsys.readouterr().out
+
+
 SUITE = """package testcases.x;
 import testcasesupport.*;
 import java.io.*;
