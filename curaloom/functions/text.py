@@ -121,17 +121,6 @@ def json_pair(response: Column) -> Column:
     return F.when(v.isNotNull() & f.isNotNull(), F.struct(v.alias("vulnerable_code"), f.alias("fixed_code")))
 
 
-def first_field(columns: list[str], present: list[str]) -> Column:
-    """The first of the columns that are present whose value isn't null or empty, as a string; arrays are joined by spaces."""
-    cells = []
-    for name, kind in present:
-        if name in columns:
-            col = F.col(f"`{name}`")
-            cells.append((columns.index(name), F.array_join(col.cast("array<string>"), " ") if kind.startswith("array") else col.cast("string")))
-    cells = [F.nullif(cell, F.lit("")) for _, cell in sorted(cells, key=lambda x: x[0])]
-    return F.coalesce(*cells) if cells else F.lit(None).cast("string")
-
-
 def rate_cell(passed: Column, total: Column) -> Column:
     """'96% (96/100)', halves to even; 'n/a (tool missing)' where nothing was evaluated."""
     percent = F.bround(passed * 100 / total, 0).cast("long").cast("string")
