@@ -20,8 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Paths given out and not released, in order.
+_given: list[str] = []
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder; deleted by `release`, or when the process ends."""
     path = f"{shared_folder(spark)}/curaloom-{tag}-{uuid.uuid4().hex}"
+    _given.append(path)
     atexit.register(_delete, spark, path)
     return path
 
@@ -33,6 +39,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def given() -> list[str]:
+    return list(_given)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that no later step reads, so that a long session doesn't fill the shared folder."""
+    for path in paths:
+        _delete(spark, path)
+        if path in _given:
+            _given.remove(path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
