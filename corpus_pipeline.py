@@ -4,6 +4,7 @@ Every stage is a function of (spark, docs, sf_dir) and works on all that the one
 stages the documents are written as Parquet and read again, so each stage starts from a table.
 """
 
+from curaloom import storage
 from curaloom.llm import decontam, mixing, neardup, pii, quality, runtime
 
 
@@ -45,8 +46,12 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over the documents of sf_dir."""
+    """All stages over the documents of sf_dir; what a stage wrote for itself goes once its result is written."""
     docs = runtime.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = runtime.written(stage(spark, docs, sf_dir), name)
+        before = set(storage.given())
+        kept = stage(spark, docs, sf_dir)
+        own = [p for p in storage.given() if p not in before]
+        docs = runtime.written(kept, name)
+        storage.release(spark, own)
     return docs

@@ -26,6 +26,13 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+def test_run_gives_the_last_stage_and_cleans_up(spark, stages):
+    before = set(cp.storage.given())
+    rows = cp.run(spark, SF).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, stages[5]))
+    assert len(set(cp.storage.given()) - before) == len(cp.STAGES)
+
+
 def test_columns(stages):
     assert all(r.__fields__ == stages[0][0].__fields__ for s in stages[1:5] for r in s)
 
