@@ -172,7 +172,7 @@ def generation_prompt(cwe: Column, seed: Column) -> Column:
 def attempts(seeds: DataFrame, per_cwe: int, seed: int = 42) -> DataFrame:
     """cwe, attempt (1 to 3 * per_cwe), system and input: prompts over seeds (cwe, vulnerable_code, source_id), drawn by hash."""
     keyed = seeds.where(F.col("cwe").isin(*c.TARGET_CWES)).withColumn("_key", splitting.hash_key(seed, F.col("source_id")))
-    placed = splitting.ranked(keyed, ["cwe"], "_key", ["source_id"])
+    placed = splitting.ranked(keyed.select("cwe", "vulnerable_code", "source_id", "_key"), ["cwe"], "_key", ["source_id"])
     sizes = keyed.groupBy("cwe").agg(F.count(F.lit(1)).alias("_n"))
     turns = sizes.withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(3 * per_cwe))))
     drawn = turns.withColumn("rank", (F.col("attempt") - 1) % F.col("_n") + 1).join(placed, ["cwe", "rank"])

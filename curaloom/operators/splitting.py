@@ -20,8 +20,13 @@ def hash_key(seed: int, *keys: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *(k.cast("string") for k in keys)))
 
 
-def ranked(rows: DataFrame, group: list[str], key: str, tie: list[str], digits: int = 2) -> DataFrame:
-    """rows with rank: each row's place, from 1, in its group by the hexadecimal key, then tie."""
+def ranked(rows: DataFrame, group: list[str], key: str, tie: list[str]) -> DataFrame:
+    """rows with rank: each row's place, from 1, in its group by the hexadecimal key, then tie.
+
+    rows should be narrow: they are written, and their number sets how many buckets share the work.
+    """
+    rows = written(rows, "ranked")
+    digits = max(1, math.ceil(math.log(max(1.0, math.sqrt(rows.count())), 16)))
     rows = rows.withColumn("_bucket", F.substring(key, 1, digits))
     totals = rows.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     ahead = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -92,7 +97,7 @@ def split(members: DataFrame, seed: int = 42, fractions: tuple = (0.8, 0.1, 0.1)
     if not sizes:
         return members.select("id", "cluster_id", F.lit(None).cast("string").alias("split"))
     ranges = members.sparkSession.createDataFrame(plan(sizes, fractions), "size long, low long, high long, split string")  # five rows a size at most
-    placed = ranked(groups, ["size"], "key", ["cluster_id"])
+    placed = ranked(groups.select("cluster_id", "size", "key"), ["size"], "key", ["cluster_id"])
     placed = placed.join(F.broadcast(ranges), "size").where(F.col("rank").between(F.col("low"), F.col("high")))
     return members.join(placed.select("cluster_id", "split"), "cluster_id").select("id", "cluster_id", "split")
 
