@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from curaloom.llm import runtime, words
 
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 8_000_000
 SLOT_DOCS = 2000
 BUCKETS = 24
 #: The mixture weights are learned from ratios in steps of 1/FINE octaves.
