@@ -1,6 +1,8 @@
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from curaloom.llm import pii
 
@@ -82,3 +84,36 @@ def test_query_rows(spark):
     assert sorted((r.doc_id or 0, r.n_email, r.spans) for r in rows) == [(0, 0, ""), (1, 1, "email:2:8"), (1, 1, "email:2:8"), (2, 0, "")]
     out = pii.redacted(docs.withColumn("n_chars", pii.F.lit(9).cast("long"))).collect()
     assert sorted((r.text or "", r.n_chars or 0) for r in out) == [("", 0), ("", 0), ("x <EMAIL>", 9), ("x <EMAIL>", 9)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1@.", max_size=40), st.lists(st.tuples(st.integers(0, 39), st.integers(0, 5), st.text(alphabet="XY", max_size=4)), max_size=5))
+def test_edits_map_every_output_character_back(text, wanted):
+    found, at = [], 0
+    for a, n, new in sorted(wanted):
+        if a >= at and a + n <= len(text) and (n or new):
+            found.append((a, a + n, new))
+            at = a + n
+    e = pii.Edits(text, found)
+    last = 0
+    for i, x in enumerate(e.text):
+        a, b = e.source(i, i + 1)
+        assert last <= b and 0 <= a <= b <= len(text)
+        last = a
+        if x not in "XY":
+            assert text[a:b] == x
+        else:
+            assert any(p <= a and b <= q for p, q, new in found if new)
+    if e.text:
+        a, b = e.source(0, len(e.text))
+        assert e.text == pii.Edits(text[a:b], [(p - a, q - a, n) for p, q, n in found if p >= a and q <= b]).text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["jane", " at ", "(at)", "@", " dot ", "[dot]", ".", "com", "one ", "five", " ", "+1", "(555)", "7O6", "é", "​", "４", "&#64;"]), max_size=25))
+def test_all_spans_keep_the_plain_ones_and_lie_inside(parts):
+    text = "".join(parts)
+    base, spans = pii.all_spans(text)
+    assert base == brute(text) and set(base) <= set(spans)
+    assert all(0 <= a < b <= len(text) for _, a, b in spans)
+    assert spans == sorted(spans, key=lambda s: (s[1], pii.KINDS.index(s[0]), s[2]))
