@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from curaloom.llm import runtime, words
 
 CHUNK_BYTES = 8_000_000
-SLOT_DOCS = 2000
+#: Documents whose keys share a slot: few on small inputs for even tasks, more (some 300 MB a slot) on large ones.
+SLOT_DOCS, LARGE_SLOT_DOCS, EVEN_SLOTS = 2000, 20_000, 1024
 BUCKETS = 24
 #: The mixture weights are learned from ratios in steps of 1/FINE octaves.
 FINE, ROUNDS = 8, 200
@@ -163,12 +164,13 @@ def _asks(slots: int):
                 g = Grams(texts)
                 trained, fitted = g.per_token(role != HELD), g.per_token(role == FITTED)
                 columns = []
-                for keys, at, bits in ((g.words, g.word_at, 64), (g.pairs, g.pair_at, 56)):
-                    edge = _slots(keys, bits, slots)
+                edges = [_slots(g.words, 64, slots), _slots(g.pairs, 56, slots)]
+                used = np.flatnonzero(np.diff(edges[0]) + np.diff(edges[1])).tolist()  # at most one row a key, however many slots
+                for keys, at, edge in ((g.words, g.word_at, edges[0]), (g.pairs, g.pair_at, edges[1])):
                     parts = [keys, np.bincount(at[trained], minlength=keys.size), np.bincount(at[fitted], minlength=keys.size)]
                     for code, part in zip((_code_keys, _code_counts, _code_counts), parts, strict=True):
-                        columns.append(pa.array([code(part[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * slots, pa.int64()), pa.array(range(slots), pa.int32()), *columns], names=["chunk", "slot", *_ASKED])
+                        columns.append(pa.array([code(part[edge[s] : edge[s + 1]]) for s in used], pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(used), pa.int64()), pa.array(used, pa.int32()), *columns], names=["chunk", "slot", *_ASKED])
 
     return run
 
@@ -312,7 +314,8 @@ def fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
     runtime.bound_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _role(docs["doc_id"]).cast("int").alias("role"), F.col("text").cast("string").cast("binary").alias("text"))
     chunks = runtime.written(rows.mapInArrow(_chunks, "chunk long, deleted boolean, docs binary"), "chunks")
-    slots = max(32, math.ceil(docs.count() / SLOT_DOCS))
+    n = docs.count()
+    slots = max(32, min(EVEN_SLOTS, math.ceil(n / SLOT_DOCS)), math.ceil(n / LARGE_SLOT_DOCS))
     asked = chunks.select("chunk", "docs").mapInArrow(_asks(slots), "chunk long, slot int, " + ", ".join(f"{k} binary" for k in _ASKED))
     answers = runtime.written(asked.groupBy("slot").applyInArrow(_answers, _ANSWER), "answers")
     sums = answers.where("chunk = -1").agg(*(F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)).alias(f"t{i}") for i in range(4))).first()
