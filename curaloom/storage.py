@@ -32,9 +32,14 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """df as a table in the shared folder, read back; deleted when the process ends."""
+def written(df: DataFrame, tag: str, rows: int | None = None, per_task: int = 1_000_000) -> DataFrame:
+    """df as a table in the shared folder, read back; deleted when the process ends.
+
+    rows, a bound of its narrow rows where one is known, keeps a small table from being written by many tasks.
+    """
     path = fresh_path(df.sparkSession, tag)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // per_task)))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
