@@ -94,7 +94,7 @@ def _verify(batches):
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, text) of the documents that the pairs name."""
     spark = docs.sparkSession
-    ids = runtime.written(pairs.select(F.explode_outer(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).select("id"), "ids")
+    ids = runtime.written(pairs.select(F.explode_outer(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).select("id"), "ids", 2 * pairs.count())
     few = ids.count() <= BROADCAST_IDS
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").cast("binary").alias("text"))
     picked = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
@@ -169,10 +169,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = runtime.written(_paired(_tables(classes), ["id"]), "pairs")
 
     # one partner for each class first; most of what remains is then connected already
-    one = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    one = runtime.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one", pairs.count())
     links = _checked(docs, one)
     roots = components(links)
-    rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest")
+    rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest", pairs.count())
     turn, crowded = 0, None
     while True:
         if not rest.isEmpty():
