@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from curaloom.llm import runtime, words
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 #: Documents whose keys share a slot: few on small inputs for even tasks, more (some 300 MB a slot) on large ones.
 SLOT_DOCS, LARGE_SLOT_DOCS, EVEN_SLOTS = 2000, 20_000, 1024
 BUCKETS = 24
