@@ -10,7 +10,9 @@ are paired with the first and with the one before; no bucket emits all its pairs
 class is verified first; pairs that those links already connect need no check. Buckets of up to three
 classes are thereby complete. For larger ones that still hold several components, every component of a
 bucket sends one random member a round, paired as before, until a round links nothing more; these rounds
-use the SIDE tables that combine equally numbered half-keys.
+use the SIDE tables that combine equally numbered half-keys. The classes of buckets, of any table, that
+hold several components even then are joined exactly on their rarest shingles, and what is close enough
+is verified: no link between classes that meet in a bucket depends on the rounds.
 """
 
 from __future__ import annotations
@@ -93,8 +95,12 @@ def _verify(batches):
 
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, text) of the documents that the pairs name."""
-    spark = docs.sparkSession
     ids = runtime.written(pairs.select(F.explode_outer(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).select("id"), "ids", 2 * pairs.count())
+    return _picked(docs, ids)
+
+
+def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents of these ids, as a written table."""
     few = ids.count() <= BROADCAST_IDS
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").cast("binary").alias("text"))
     picked = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
@@ -110,24 +116,22 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return runtime.written(rows.mapInArrow(_verify, "a long, b long"), "links")
 
 
-def _tables(classes: DataFrame, diagonal: bool = False) -> DataFrame:
-    """(key, id, n) for every class and table, or for the tables with i = j only."""
+def _tables(classes: DataFrame) -> DataFrame:
+    """(key, id, n, diagonal) for every class and table; diagonal where i = j."""
     sides = classes.select("id", "n", "right", F.posexplode_outer("left").alias("i", "l"))
-    if diagonal:
-        return sides.select(F.xxhash64("i", "l", "i", F.element_at("right", F.col("i") + 1)).alias("key"), "id", "n")
     tables = sides.select("id", "n", "i", "l", F.posexplode_outer("right").alias("j", "r"))
-    return tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", "n")
+    return tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", "n", (F.col("i") == F.col("j")).alias("diagonal"))
 
 
-def _paired(buckets: DataFrame, order: list) -> DataFrame:
-    """Of each bucket, every row with the first and with the one before it, as pairs (a, b), a < b, each once.
+def _ends(buckets: DataFrame, order: list) -> DataFrame:
+    """Every row with the first of its bucket, c, and the one before it, p, where there is one."""
+    w, ends = Window.partitionBy("key").orderBy(*order), F.struct("id", "n")
+    return buckets.select("*", F.first(ends).over(w).alias("c"), F.lag(ends, 1).over(w).alias("p"))
 
-    Pairs whose sizes already rule them out go.
-    """
-    w = Window.partitionBy("key").orderBy(*order)
-    ends = F.struct("id", "n")
-    seen = buckets.select("id", "n", F.first(ends).over(w).alias("c"), F.lag(ends, 1).over(w).alias("p")).where("p is not null")
-    pairs = seen.select("id", "n", F.explode_outer(F.array_distinct(F.array("c", "p"))).alias("o")).where("o.id <> id")
+
+def _paired(seen: DataFrame) -> DataFrame:
+    """The rows of _ends as pairs (a, b), a < b, each once. Pairs whose sizes already rule them out go."""
+    pairs = seen.where("p is not null").select("id", "n", F.explode_outer(F.array_distinct(F.array("c", "p"))).alias("o")).where("o.id <> id")
     near = F.least("n", "o.n") * 100 >= F.greatest("n", "o.n") * PERCENT
     pairs = pairs.where(near).select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b"))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tables")).select("a", "b")
@@ -140,10 +144,10 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _crowded(buckets: DataFrame) -> DataFrame:
-    """The rows of the buckets of more than three."""
+def _shared(tables: DataFrame) -> DataFrame:
+    """The rows of _ends of the buckets of more than one, with their size, as a written table."""
     every = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return buckets.withColumn("size", F.count(F.lit(1)).over(every)).where("size > 3").select("key", "id", "n")
+    return runtime.written(_ends(tables, ["id"]).withColumn("size", F.count(F.lit(1)).over(every)).where("size > 1"), "shared")
 
 
 def _delegates(crowded: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
@@ -154,6 +158,60 @@ def _delegates(crowded: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return drawn.select("key", "d.id", "d.n")
 
 
+def _unresolved(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, root) of the classes of crowded buckets that hold several components, as a written table."""
+    rows = crowded.select("key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    several = rows.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
+    ids = rows.join(several, "key", "left_semi").groupBy("id").agg(F.min("root").alias("root"))
+    return runtime.written(ids, "unresolved")
+
+
+def _sets(batches):
+    for batch in batches:
+        sets = words.shingle_sets(batch.column(1).to_pylist(), WIDTH)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array([_signature(s) for s in sets], pa.binary()),
+                pa.array([s.size for s in sets], pa.int64()),
+                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+            ],
+            names=["id", "sig", "n", "shingles"],
+        )
+
+
+def _reached(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows whose size n some row of others of their shingle, but of another component, reaches."""
+    best = others.groupBy("gram", "root").agg(F.max("reach").alias("reach"))
+    k = F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("reach"), "root"))
+    two = best.withColumn("k", k).where("k <= 2").groupBy("gram").agg(
+        F.max(F.expr("if(k = 1, root, null)")).alias("own"), F.max(F.expr("if(k = 1, reach, null)")).alias("most"), F.max(F.expr("if(k = 2, reach, null)")).alias("next")
+    )
+    return rows.join(two, "gram").where("n <= if(root = own, next, most)").select(*rows.columns)
+
+
+def _across(docs: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of different components of (id, root): all that can be near-duplicates, and few others.
+
+    The shingles of a set stand in order of rarity. If the first that two sets share stands at a rank, no more than
+    n - rank + 1 are shared, which is enough for partners of up to a size, its reach, only. The larger set thus has the
+    shingle where it reaches the smaller one, and the smaller where it reaches the larger, so at least its own size.
+    """
+    sets = _picked(docs, unresolved.select("id")).mapInArrow(_sets, "id long, sig binary, n long, shingles array<long>")
+    grams = runtime.written(sets, "sets").select("id", "sig", "n", F.explode_outer("shingles").alias("gram"))
+    common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    rank = F.row_number().over(Window.partitionBy("sig", "id").orderBy("df", "gram"))
+    ranked = grams.join(common, "gram", "left").select("id", "sig", "n", "gram", F.coalesce("df", F.lit(1)).alias("df")).withColumn("rank", rank)
+    reach = F.expr(f"(n - rank + 1) * {100 + PERCENT} div {PERCENT} - n")
+    prefix = ranked.where("df > 1").withColumn("reach", reach).where(f"reach * 100 >= n * {PERCENT}").join(unresolved, "id")
+    prefix = runtime.written(prefix.select("id", "n", "gram", "reach", "root"), "prefixes")
+    short = prefix.where("reach >= n")
+    left, right = _reached(short, prefix).alias("x"), _reached(prefix, short).alias("y")
+    close = f"x.n * 100 >= y.n * {PERCENT} and y.n <= x.reach and x.n <= y.reach and (x.n < y.n or x.n = y.n and x.id < y.id)"
+    pairs = left.join(right, F.expr(f"x.gram = y.gram and x.root <> y.root and {close}"))
+    return pairs.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.count(F.lit(1)).alias("shared")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text, and any other columns).
 
@@ -166,14 +224,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.count(F.lit(1)).alias("copies")
     )
     classes = runtime.written(classes, "classes")
-    pairs = runtime.written(_paired(_tables(classes), ["id"]), "pairs")
+    shared = _shared(_tables(classes))
+    pairs = runtime.written(_paired(shared), "pairs")
+    crowded = shared.where("size > 3")
 
     # one partner for each class first; most of what remains is then connected already
     one = runtime.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one", pairs.count())
     links = _checked(docs, one)
     roots = components(links)
     rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest", pairs.count())
-    turn, crowded = 0, None
+    turn = 0
     while True:
         if not rest.isEmpty():
             more = _checked(docs, rest)
@@ -184,12 +244,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         elif turn:
             break
         turn += 1
-        if crowded is None:
-            crowded = runtime.written(_crowded(_tables(classes, diagonal=True)), "crowded")
-        again = _paired(_delegates(crowded, roots, turn), [F.xxhash64("id", F.lit(turn))])
+        again = _paired(_ends(_delegates(crowded.where("diagonal"), roots, turn), [F.xxhash64("id", F.lit(turn))]))
         fresh = _apart(again.join(pairs, ["a", "b"], "left_anti"), roots)
         rest = runtime.written(fresh, "rest")
         pairs = pairs.unionByName(rest)
+    unresolved = _unresolved(crowded, roots)
+    if not unresolved.isEmpty():
+        last = runtime.written(_across(docs, unresolved).join(pairs, ["a", "b"], "left_anti"), "last")
+        more = _checked(docs, last)
+        if not more.isEmpty():
+            roots = components(links.unionByName(more))
     return _labelled(spark, rows, classes, roots)
 
 

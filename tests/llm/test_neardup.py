@@ -68,6 +68,19 @@ def test_clusters_chains_copies_and_edges(spark):
     assert got == brute(rows)
 
 
+def test_links_in_crowded_buckets_of_a_template(spark):
+    word = random.Random(4).getrandbits
+    template = [f"t{word(40)}" for _ in range(86)]
+    # any two share 82 of 110 shingles (0.745); partners, far apart in order, 83 of 109 (0.761)
+    rows = [[*template, *(f"u{word(40)}" for _ in range(14))] for _ in range(600)]
+    for k in range(0, 300, 20):
+        rows[k + 300][86] = rows[k][86]
+    assert len(shingles(" ".join(rows[0])) & shingles(" ".join(rows[1]))) == 82 and len(shingles(" ".join(rows[0])) & shingles(" ".join(rows[300]))) == 83
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(rows)], "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(frame).collect()}
+    assert got == {d: d - 300 if d >= 300 and d % 20 == 0 else d for d in range(600)}
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     frame = spark.createDataFrame([(1, "a b c d e f", "s"), (1, "a b c d e f", "s"), (2, "a b c d e f", None), (None, "a b c d e f", "s"), (3, None, "s")], "doc_id long, text string, source string")
     got = sorted((x.doc_id or 0, x.n_shingles, x.component_id or 0, x.kept) for x in neardup.near_duplicates(frame).collect())
