@@ -377,6 +377,34 @@ def method_extraction(spark, sf):
     return _java(spark, sf).select("doc_id", F.sha2(java.method(F.col("source"), "bad"), 256).alias("method_sha"))
 
 
+# The same over whole texts, their lines joined by spaces; the three queries above, and their SQL, hold the first line only.
+
+
+def _java_whole(spark, sf):
+    lines = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), "\n", " "), r"[^\p{L} ]", "")
+    return _table(spark, sf, "documents").select("doc_id", F.concat(F.lit(_JAVA[0]), F.col("doc_id").cast("string"), F.lit(_JAVA[1]), lines, F.lit(_JAVA[2])).alias("source"))
+
+
+_LINES = r"regexp_replace(translate(coalesce(text, ''), chr(10), ' '), '[^\p{L} ]', '', 'g')"
+_WHOLE = " || ".join([_q(_JAVA[0]).replace("\n", "' || chr(10) || '"), "doc_id", _q(_JAVA[1]).replace("\n", "' || chr(10) || '"), _LINES, _q(_JAVA[2]).replace("\n", "' || chr(10) || '")])
+
+
+@_query(f"WITH j AS (SELECT doc_id, {_WHOLE} AS source FROM documents) SELECT doc_id, sha256({_STRIPPED}) AS stripped_sha FROM j")
+def java_stripped_whole(spark, sf):
+    return _java_whole(spark, sf).select("doc_id", F.sha2(java.stripped(F.col("source")), 256).alias("stripped_sha"))
+
+
+@_query(f"WITH j AS (SELECT doc_id, {_WHOLE} AS source FROM documents) SELECT doc_id, sha256({_rewrite_sql('CWE-78', 0)}) AS process_sha, sha256({_rewrite_sql('CWE-22', 0)}) AS file_sha FROM j")
+def sink_synthesis_whole(spark, sf):
+    j, s = _java_whole(spark, sf), F.col("source")
+    return j.select("doc_id", F.sha2(java.synthesized(F.lit("CWE-78"), s), 256).alias("process_sha"), F.sha2(java.synthesized(F.lit("CWE-22"), s), 256).alias("file_sha"))
+
+
+@_query(f"WITH j AS (SELECT doc_id, {_WHOLE} AS source FROM documents) SELECT doc_id, sha256(source[instr(source, 'public void'):length(source) - 3]) AS method_sha FROM j")
+def method_extraction_whole(spark, sf):
+    return _java_whole(spark, sf).select("doc_id", F.sha2(java.method(F.col("source"), "bad"), 256).alias("method_sha"))
+
+
 # --- augmentation --------------------------------------------------------------------------------
 
 _ATTEMPTED = f"{_DOCS}, tries AS (SELECT cwe, doc_id AS attempt, CASE doc_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'unparseable' WHEN 2 THEN 'rejected' ELSE 'admitted' END AS status FROM d WHERE cwe IS NOT NULL), ad AS (SELECT * FROM (SELECT *, coalesce(sum(CASE WHEN status = 'admitted' THEN 1 ELSE 0 END) OVER (PARTITION BY cwe ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM tries) WHERE b < 20)"
