@@ -20,6 +20,8 @@ SHARE, MOST_EPOCHS, SEED = 1.5, 2, 1
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _EDGES = " \t\n\x0b\x0c\r"
+#: Repeated rows are written out by so many at a time.
+_BLOCK = 65_536
 
 
 def _trimmed(text: Column) -> Column:
@@ -61,17 +63,21 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def _ranked(docs: DataFrame) -> DataFrame:
-    """One narrow row per document: doc_id, source, size, source_size, target, epochs, rest, key, before."""
+    """One narrow row per source, id and size: doc_id, source, size, source_size, target, epochs, rest, key, n, before.
+
+    n rows agree in these; before is the number of words ahead of the first of them. Rows of one id thus never
+    make a hot key: a bucket holds at most one row for every size that occurs.
+    """
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
-    sized = runtime.written(sized, "sizes")
+    sized = runtime.written(sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
     named = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("part")
-    rows = sized.select("doc_id", "size", named, random_key(F.col("doc_id")).alias("key"))
+    rows = sized.select("doc_id", "size", "n", named, random_key(F.col("doc_id")).alias("key"))
     digits = max(1, math.ceil(math.log(max(1.0, math.sqrt(sized.count())), 16)))
     rows = rows.withColumn("bucket", F.substring("key", 1, digits))
-    totals = rows.groupBy("part", "bucket").agg(F.sum("size").alias("words"))
+    totals = rows.groupBy("part", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
     ahead = Window.partitionBy("part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     offsets = totals.select("part", "bucket", (F.sum("words").over(ahead) - F.col("words")).alias("offset"))
-    plan = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    plan = targets(sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest(F.col("source_size"), F.lit(1)))).otherwise(F.lit(0))
     plan = plan.withColumn("epochs", epochs).withColumn("rest", budget - F.col("epochs") * F.col("source_size"))
@@ -79,11 +85,15 @@ def _ranked(docs: DataFrame) -> DataFrame:
     offsets = offsets.join(plan, "part")
     inside = Window.partitionBy("part", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(offsets, ["part", "bucket"])
-    return rows.withColumn("before", F.col("offset") + F.sum("size").over(inside) - F.col("size"))
+    words = F.col("size") * F.col("n")
+    return rows.withColumn("before", F.col("offset") + F.sum(words).over(inside) - words)
 
 
-def _taken(epochs, rest, before, size) -> Column:
-    return epochs * size + F.greatest(F.lit(0), F.least(rest - before, size))
+def _repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its column times says, by blocks, so that no array grows with it."""
+    blocks = rows.where(F.col(times) > 0).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / _BLOCK))))
+    inside = F.least(F.lit(_BLOCK), F.col(times) - F.col("block") * _BLOCK)
+    return blocks.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), inside))).select(*rows.columns)
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -92,8 +102,33 @@ def mix(docs: DataFrame) -> DataFrame:
     A null source is a source of its own, the last; a null or empty text has size 0 and is never taken.
     Rows that repeat an id sort by size and count each for itself. Empty tables give an empty mix.
     """
-    taken = _taken(F.col("epochs"), F.col("rest"), F.col("before"), F.col("size"))
-    return _ranked(docs).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    room = F.greatest(F.lit(0).cast("long"), F.col("rest") - F.col("before"))
+    whole = F.when(F.col("size") > 0, F.least(F.col("n"), F.floor(room / F.greatest(F.col("size"), F.lit(1))))).otherwise(F.lit(0)).cast("long")
+    rows = _ranked(docs).withColumn("room", room).withColumn("whole", whole)
+    part = F.when((F.col("whole") < F.col("n")) & (F.col("size") > 0), F.col("room") - F.col("whole") * F.col("size")).otherwise(F.lit(0)).cast("long")
+    cut = F.when(F.col("whole") < F.col("n"), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    kinds = F.array(
+        F.struct(F.col("size").alias("last"), F.col("whole").alias("times")),
+        F.struct(part.alias("last"), cut.alias("times")),
+        F.struct(F.lit(0).cast("long").alias("last"), (F.col("n") - F.col("whole") - cut).alias("times")),
+    )
+    rows = rows.select("doc_id", "size", "source_size", "target", "epochs", F.explode(kinds).alias("k"))
+    rows = rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("k.last")).cast("long").alias("taken"), F.col("k.times").alias("times"))
+    return _repeated(rows, "times").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _ordinals(rows: DataFrame, part: str) -> DataFrame:
+    """rows as a written table with ordinal, each row's place from 1 in its part, by the order of that table.
+
+    Counts of the table's partitions give each partition's offset, so that a part of any size is numbered by many tasks.
+    """
+    rows = runtime.written(rows, "ties").withColumn("at", F.spark_partition_id()).withColumn("line", F.monotonically_increasing_id())
+    counts = rows.groupBy(F.col(part).alias("part"), F.col("at").alias("chunk")).agg(F.count(F.lit(1)).alias("m"))
+    ahead = Window.partitionBy("part").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.select("part", "chunk", (F.sum("m").over(ahead) - F.col("m")).alias("offset"))
+    numbered = rows.withColumn("place", F.row_number().over(Window.partitionBy(part, "at").orderBy("line")))
+    joined = numbered.join(counts, (F.col(part) == F.col("part")) & (F.col("at") == F.col("chunk")))
+    return joined.withColumn("ordinal", F.col("offset") + F.col("place")).drop("part", "chunk", "offset", "place", "line", "at")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -101,25 +136,43 @@ def mixed(docs: DataFrame) -> DataFrame:
     which replace columns of these names.
 
     The document at a source's cut keeps its first words, joined by a space; its n_chars, if there, follows.
-    Texts are not shuffled: one row a source says where its order is cut.
+    Texts are not shuffled: one row a source says where its order is cut. Only where several rows that agree in
+    id and size lie at the cut are those written, and numbered in the order of that table, to take as many as fit.
     """
     ranked = _ranked(docs)
-    open_end = F.struct("key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "size", "before")
-    cuts = ranked.groupBy("part").agg(F.min(F.when(F.col("before") + F.col("size") > F.col("rest"), open_end)).alias("cut"), F.first("epochs").alias("epochs"), F.first("rest").alias("rest"))
+    at_cut = F.struct("key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "size", "before", "n")
+    over = F.col("before") + F.col("size") * F.col("n") > F.col("rest")
+    cuts = ranked.groupBy("part").agg(F.min(F.when(over, at_cut)).alias("cut"), F.first("epochs").alias("epochs"), F.first("rest").alias("rest"))
     cuts = runtime.written(cuts, "cuts")
+    ties = not cuts.where("cut.n > 1 and rest > 0").isEmpty()
     if cuts.count() <= 100_000:  # one row a source
         cuts = F.broadcast(cuts)
-    columns = [x for x in docs.columns if x not in ("epoch", "taken")]
-    rows = docs.withColumn("_part", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
-    rows = rows.join(cuts.select(*(F.col(c).alias(f"_{c}") for c in ("part", "cut", "epochs", "rest"))), "_part")
-    size = n_words(F.col("text"))
-    mine = F.struct(random_key(F.col("doc_id")).alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), size.alias("size"))
-    cut = F.struct(F.col("_cut.key").alias("key"), F.col("_cut.id").alias("id"), F.col("_cut.size").alias("size"))
-    rows = rows.withColumn("_size", size)
-    last = F.when(F.col("_cut").isNull() | (mine < cut), F.col("_size")).when(mine == cut, F.greatest(F.lit(0), F.col("_rest") - F.col("_cut.before"))).otherwise(F.lit(0)).cast("long")
-    parts = F.concat(F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")), F.array(F.col("_last")))
-    rows = rows.withColumn("_last", F.when(F.col("_rest") > 0, last).otherwise(F.lit(0).cast("long")))
-    rows = rows.select(*columns, "_size", F.posexplode_outer(parts).alias("_epoch", "_take")).where("_take > 0")
-    text = F.when(F.col("_take") < F.col("_size"), first_words(F.col("text"), F.col("_take"))).otherwise(F.col("text"))
+
+    def given(name: str) -> Column:
+        return F.col(f"row.`{name}`")
+
+    # the columns of docs travel in one struct, so that no name clashes
+    rows = docs.select(F.struct(*(F.col(f"`{x}`") for x in docs.columns)).alias("row"))
+    rows = rows.withColumn("mine_part", F.coalesce(F.concat(F.lit("="), given("source").cast("string")), F.lit(""))).join(cuts, F.col("mine_part") == F.col("part")).drop("part")
+    size = n_words(given("text"))
+    mine = F.struct(random_key(given("doc_id")).alias("key"), F.coalesce(given("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), size.alias("size"))
+    rows = rows.withColumn("mine", mine)
+    cut = F.struct(F.col("cut.key").alias("key"), F.col("cut.id").alias("id"), F.col("cut.size").alias("size"))
+    at = F.coalesce(F.col("mine") == cut, F.lit(False))
+    rows = rows.withColumn("size", F.col("mine.size"))
+    tied = at & (F.col("cut.n") > 1) & (F.col("rest") > 0)
+    room = F.col("rest") - F.col("cut.before")
+    none = F.lit(0).cast("long")
+    last = F.when(F.col("cut").isNull() | (F.col("mine") < cut), F.col("size")).when(at, F.greatest(none, room)).otherwise(none)
+    once = rows.where(~tied) if ties else rows
+    once = once.select("row", "size", "epochs", F.when(F.col("rest") > 0, last).otherwise(none).alias("last"))
+    if ties:
+        several = _ordinals(rows.where(tied).select("row", "size", "epochs", room.alias("room"), "mine_part"), "mine_part")
+        left = F.col("room") - (F.col("ordinal") - 1) * F.col("size")
+        once = once.unionByName(several.select("row", "size", "epochs", F.greatest(none, F.least(left, F.col("size"))).alias("last")))
+    parts = F.concat(F.array_repeat(F.col("size"), F.col("epochs").cast("int")), F.array(F.col("last")))
+    out = once.select("row", "size", F.posexplode_outer(parts).alias("turn", "take")).where("take > 0")
+    text = F.when(F.col("take") < F.col("size"), first_words(given("text"), F.col("take"))).otherwise(given("text"))
     new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
-    return rows.select(*(new.get(c, F.col(c)) for c in columns), (F.col("_epoch") + 1).alias("epoch"), F.col("_take").alias("taken"))
+    columns = [x for x in docs.columns if x not in ("epoch", "taken")]
+    return out.select(*(new.get(x, given(x).alias(x)) for x in columns), (F.col("turn") + 1).alias("epoch"), F.col("take").alias("taken"))

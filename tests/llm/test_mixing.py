@@ -51,7 +51,7 @@ def test_mix(spark):
 
 
 def test_mixed_emits_what_mix_takes(spark):
-    frame = spark.createDataFrame([(*d, 0) for d in corpus() if d[0] != 7], "doc_id long, text string, source string, n_chars int")
+    frame = spark.createDataFrame([(*d, 0) for d in corpus()], "doc_id long, text string, source string, n_chars int")
     plan = Counter()
     for r in mixing.mix(frame).collect():
         plan[r.doc_id] += r.taken
@@ -67,3 +67,31 @@ def test_empty_tables(spark):
     assert mixing.mix(frame).count() == 0 and mixing.mixed(frame).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.mix(blank).collect()] == [(0, 0.0, 0)] * 2 and mixing.mixed(blank).count() == 0
+
+
+def test_repeated_rows_at_the_cut(spark):
+    rows = [(1, "w " * 100, "a")] + [(5, "x " * 50, "b")] * 20
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = sum(r.taken for r in mixing.mix(frame).collect() if r.doc_id == 5)
+    emitted = [r.taken for r in mixing.mixed(frame).collect() if r.doc_id == 5]
+    assert plan == sum(emitted) == 1450 and Counter(emitted) == {50: 29}
+
+
+def test_one_id_for_all_rows_and_none(spark):
+    r = random.Random(8)
+    for doc_id in (3, None):
+        rows = [(doc_id, " ".join(r.choice("abc") for _ in range(r.randrange(6))), r.choice("st")) for _ in range(300)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        plan, sizes = mixing.mix(frame).collect(), Counter()
+        assert len(plan) == 300 and sum(x.taken for x in plan) == sum(x.taken for x in mixing.mixed(frame).collect())
+        for _, t, s in rows:
+            sizes[s] += len(t.split())
+        assert sum(x.taken for x in plan) == sum(int(t + 1e-9) for t in water(sizes).values())
+
+
+def test_clashing_columns_survive(spark):
+    names = ["_cut", "_size", "size", "part", "row", "mine", "mine_part", "last", "rest", "epochs", "cut", "turn", "take", "ordinal", "a.b"]
+    frame = spark.createDataFrame([(1, "a b", "s", *names), (2, "c d e", "t", *names)] + [(3, "x y", "t", *names)] * 4, ["doc_id", "text", "source", *names])
+    out = mixing.mixed(frame)
+    assert out.columns == [*frame.columns, "epoch", "taken"]
+    assert all([r[n] for n in names] == names for r in out.collect())
