@@ -1,14 +1,15 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network.
 
-Terms are the words of a bounded vocabulary and, for all other words, one of a fixed set of word shapes
-(case, ending, length); a word that repeats the one before it is a term of its own. Every term has a sparse ternary index vector drawn from its hash; its context
-vector sums the index vectors of the terms up to WINDOW places away, rotated by side, over the sample.
-A term's word vector joins both. A document is pooled as mean and deviation of its word vectors over
-all its words. A two-layer numpy network gives a logit, which a temperature fitted on documents that
-the training left out turns into a probability.
-
-Fitted on a bounded sample of labelled rows: PER_CLASS of each class, those of lowest hash, among the
-rows that may be learned from. Everything is scored whole.
+Every word has a sparse ternary index vector drawn from its hash; no vocabulary decides which words count.
+Context vectors sum the index vectors of the words up to WINDOW places away, rotated by side, over all
+documents. They lie in a table of SLOTS rows, addressed by the word's hash, so the table is as large for any
+corpus and the words of a slot share its context; their index vectors still tell them apart. A word's shape
+(case, ending, length, and whether it repeats the word before) has an index vector, too. A document is pooled
+as mean and deviation of these three vectors over all its words. A two-layer numpy network gives a logit,
+which a temperature fitted on documents that the training left out turns into a probability.
+
+The network is fitted on a bounded sample of labelled rows: PER_CLASS of each class, those of lowest hash,
+among the rows that may be learned from. Contexts come from all documents, and everything is scored whole.
 """
 
 from __future__ import annotations
@@ -22,13 +23,17 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from curaloom.llm import runtime, words
 
 PER_CLASS = 2500
-VOCABULARY, WINDOW, DIM, NONZERO = 8192, 2, 64, 4
+SLOTS, WINDOW, DIM, NONZERO = 8192, 2, 64, 4
 HIDDEN, STEPS, RATE, DECAY = 32, 400, 0.01, 1e-3
 ACCEPT = 0.7
 
+#: Slots whose sums travel together, and words that are looked at together.
+_BLOCK, _AT_ONCE = 64, 1 << 18
+_SPAN = DIM // NONZERO
+
 _CASES, _ENDS, _LENGTHS = 4, 12, 4
 _KINDS = _CASES * _ENDS * _LENGTHS
-#: Shape terms, and the term of repeated words.
+#: Shapes, and the shape of repeated words.
 SHAPES = _KINDS + 1
 _END = np.zeros(256, np.int64)
 for _i, _chars in enumerate((b".", b",", b"!", b"?", b";:", b"0123456789", b"\"')]}", b"*", b"$%&#@", b"|-_/\\<>=+~^`"), start=1):
@@ -53,60 +58,89 @@ def _shapes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
     return (case * _ENDS + _END[data[stop - 1]]) * _LENGTHS + size
 
 
-def terms(texts: list[bytes], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term number of every word (vocabulary words first, then shapes) and each text's bounds."""
+def index_vectors(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the NONZERO entries of each seed's vector, one in every span of DIM // NONZERO."""
+    place, sign = np.empty((seeds.size, NONZERO), np.int64), np.empty((seeds.size, NONZERO), np.int8)
+    for k in range(NONZERO):
+        h = words.mix(seeds + np.uint64(k * 1_000_003 + 1))
+        place[:, k] = k * _SPAN + (h % np.uint64(_SPAN)).astype(np.int64)
+        sign[:, k] = np.where(h >> np.uint64(63), 1, -1)
+    return place, sign
+
+
+def _shape_vectors() -> np.ndarray:
+    place, sign = index_vectors(words.spread(SHAPES, 77))
+    out = np.zeros((SHAPES, DIM), np.float32)
+    np.put_along_axis(out, place, sign.astype(np.float32), 1)
+    return out
+
+
+SHAPE_VECTORS = _shape_vectors()
+
+
+def terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and shape of every word, and each text's bounds."""
     data, start, length, word, bounds = words.word_spans(texts, cased=True)
-    shape = _shapes(data, start, length) + vocabulary.size
-    if vocabulary.size:
-        at = np.minimum(np.searchsorted(vocabulary, word), vocabulary.size - 1)
-        shape = np.where(vocabulary[at] == word, at, shape)
+    shape = _shapes(data, start, length)
     again = np.zeros(word.size, bool)
     np.equal(word[1:], word[:-1], out=again[1:])
     again[bounds[:-1][bounds[:-1] < word.size]] = False
-    shape[again] = vocabulary.size + _KINDS
-    return shape, bounds
+    shape[again] = _KINDS
+    return word, shape, bounds
 
 
-def index_vectors(vocabulary: np.ndarray) -> np.ndarray:
-    """The terms' sparse ternary vectors, by hash."""
-    seeds = np.concatenate([vocabulary, words.spread(SHAPES, 77)])
-    out = np.zeros((seeds.size, DIM), np.float32)
-    for k in range(NONZERO):
-        h = words.mix(seeds + np.uint64(k * 1_000_003 + 1))
-        np.add.at(out, (np.arange(seeds.size), (h % np.uint64(DIM)).astype(np.int64)), np.where(h >> np.uint64(63), 1, -1).astype(np.float32))
-    return out
+def _slot(word: np.ndarray) -> np.ndarray:
+    return (word % np.uint64(SLOTS)).astype(np.int64)
 
 
-def contexts(ids: np.ndarray, bounds: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Sum over all words of their neighbours' index vectors, by term."""
-    out = np.zeros(index.shape, np.float64)
+def contexts(texts: list[bytes]) -> np.ndarray:
+    """Sum over all words of their neighbours' index vectors, by the word's slot; exact integers."""
+    word, _, bounds = terms(texts)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    out = np.zeros(SLOTS * DIM, np.int64)
     for far in range(1, WINDOW + 1):
-        near = doc[far:] == doc[:-far]
-        a, b = ids[:-far][near], ids[far:][near]
-        pair, count = np.unique(a * index.shape[0] + b, return_counts=True)
-        a, b = pair // index.shape[0], pair % index.shape[0]
-        for at in range(0, a.size, 65536):
-            x, y, n = a[at : at + 65536], b[at : at + 65536], count[at : at + 65536, None]
-            np.add.at(out, x, np.roll(index[y], far, axis=1) * n)
-            np.add.at(out, y, np.roll(index[x], -far, axis=1) * n)
-    return out
+        near = np.flatnonzero(doc[far:] == doc[:-far])
+        for at in range(0, near.size, _AT_ONCE):
+            left = near[at : at + _AT_ONCE]
+            for mine, other, turn in ((left, left + far, far), (left + far, left, -far)):
+                place, sign = index_vectors(word[other])
+                cell = _slot(word[mine])[:, None] * DIM + (place + turn) % DIM
+                out += np.bincount(cell.ravel(), weights=sign.ravel(), minlength=out.size).astype(np.int64)
+    return out.reshape(SLOTS, DIM)
+
+
+def word_vectors(sums: np.ndarray) -> np.ndarray:
+    """Context vectors of the slots, of length 1; zeros where nothing was seen."""
+    norm = np.sqrt((sums.astype(np.float64) ** 2).sum(1, keepdims=True))
+    return (sums / np.maximum(norm, 1e-9)).astype(np.float32)
 
 
-def pooled(texts: list[bytes], vocabulary: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Mean and deviation of the word vectors of each text; zeros for a text without words."""
-    ids, bounds = terms(texts, vocabulary)
-    squares = vectors * vectors
-    out = np.zeros((len(texts), 2 * vectors.shape[1]), np.float32)
+def _spread(mean: np.ndarray, square: np.ndarray) -> np.ndarray:
+    return np.hstack([mean, np.sqrt(np.maximum(square - mean * mean, 0))])
+
+
+def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
+    """Mean and deviation of index, context and shape vectors over the words of each text; zeros for a text without words."""
+    word, shape, bounds = terms(texts)
+    out = np.zeros((len(texts), 6 * DIM), np.float32)
     for at in range(0, len(texts), 128):
         edge = bounds[at : at + 129]
-        rows = len(edge) - 1
-        count = np.diff(edge)
-        flat = np.repeat(np.arange(rows), count) * len(vectors) + ids[edge[0] : edge[-1]]
-        bag = np.bincount(flat, minlength=rows * len(vectors)).reshape(rows, -1).astype(np.float32)
-        bag /= np.maximum(count, 1)[:, None]
-        mean = bag @ vectors
-        out[at : at + rows] = np.hstack([mean, np.sqrt(np.maximum(bag @ squares - mean * mean, 0))])
+        n, count = len(edge) - 1, np.maximum(np.diff(edge), 1)[:, None]
+        doc = np.repeat(np.arange(n), np.diff(edge))
+        total, square = np.zeros(n * DIM), np.zeros(n * DIM)
+        bag, kinds = np.zeros(n * SLOTS, np.float32), np.zeros(n * SHAPES)
+        for a in range(0, doc.size, _AT_ONCE):
+            mine, here = doc[a : a + _AT_ONCE], slice(edge[0] + a, edge[0] + min(a + _AT_ONCE, doc.size))
+            place, sign = index_vectors(word[here])
+            cell = (mine[:, None] * DIM + place).ravel()
+            total += np.bincount(cell, weights=sign.ravel(), minlength=n * DIM)
+            square += np.bincount(cell, minlength=n * DIM)
+            bag += np.bincount(mine * SLOTS + _slot(word[here]), minlength=n * SLOTS)
+            kinds += np.bincount(mine * SHAPES + shape[here], minlength=n * SHAPES)
+        bag, kinds = bag.reshape(n, SLOTS) / count.astype(np.float32), kinds.reshape(n, SHAPES) / count
+        columns = [_spread(total.reshape(n, DIM) / count, square.reshape(n, DIM) / count)]
+        columns += [_spread(x @ v, x @ (v * v)) for x, v in ((bag, vectors), (kinds, SHAPE_VECTORS))]
+        out[at : at + n] = np.hstack(columns)
     return out
 
 
@@ -149,7 +183,7 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = 7) -> di
     if held.size:
         z, t, w = _forward(x[held], net)[1], y[held], weight[held]
         loss = lambda heat: -(w * (t * np.log(_sigmoid(z / heat) + 1e-12) + (1 - t) * np.log(1 - _sigmoid(z / heat) + 1e-12))).sum()
-        net["temperature"] = float(min(np.geomspace(0.5, 8, 60), key=loss))
+        net["temperature"] = float(min(np.geomspace(0.02, 50, 200), key=loss))
     return net
 
 
@@ -162,84 +196,93 @@ def _text(docs: DataFrame) -> Column:
 
 
 class Model:
-    """What scoring needs; a few MB, bounded by VOCABULARY, SHAPES and DIM."""
+    """What scoring needs: a few MB, fixed by SLOTS and DIM."""
 
-    def __init__(self, vocabulary: np.ndarray, vectors: np.ndarray, net: dict | None):
-        self.vocabulary, self.vectors, self.net = vocabulary, vectors, net
+    def __init__(self, vectors: np.ndarray, net: dict | None):
+        self.vectors, self.net = vectors, net
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
         if self.net is None:
             return np.full(len(texts), 0.5)
-        x = pooled(texts, self.vocabulary, self.vectors).astype(np.float64)
-        return _sigmoid(_forward(x, self.net)[1] / self.net["temperature"])
+        return _sigmoid(_forward(pooled(texts, self.vectors).astype(np.float64), self.net)[1] / self.net["temperature"])
+
+
+def _gathered(batches):
+    """A partition's context sums, by blocks of slots."""
+    total = np.zeros((SLOTS, DIM), np.int64)
+    for batch in batches:
+        total += contexts(batch.column(0).to_pylist())
+    used = [b for b in range(0, SLOTS, _BLOCK) if total[b : b + _BLOCK].any()]
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([total[b : b + _BLOCK].tobytes() for b in used], pa.binary())], names=["block", "part"])
+
+
+def _merged(batches):
+    """The sums of the blocks that meet here; one block's memory each, however many partitions sent it."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[block] = total.get(block, 0) + np.frombuffer(part, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "part"])
+
+
+def context_sums(docs: DataFrame) -> np.ndarray:
+    """contexts of all rows of docs: summed by partition, then by block; one row a block reaches the driver."""
+    runtime.bound_batches(docs.sparkSession)
+    sent = docs.select(_text(docs)).mapInArrow(_gathered, "block int, part binary")
+    sums = np.zeros((SLOTS, DIM), np.int64)
+    for row in sent.repartition("block").mapInArrow(_merged, "block int, part binary").collect():  # SLOTS * DIM integers, whatever the corpus
+        sums[row["block"] : row["block"] + _BLOCK] = np.frombuffer(row["part"], np.int64).reshape(-1, DIM)
+    return sums
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The classifier of labels.quality, learned from the rows that aren't held out.
 
     Labels other than 0 and 1 are left; of several for a document the smallest counts. Without rows of
-    both classes the model scores 0.5 throughout.
+    both classes the model scores 0.5 throughout. Of rows that repeat an id one text is learned from.
     """
     spark = docs.sparkSession
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("y"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
-        return Model(np.empty(0, np.uint64), np.empty((0, 0)), None)
+        return Model(np.empty((0, 0)), None)
     lowest = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for y in (0, 1)]
-    sample = runtime.written(lowest[0].unionByName(lowest[1]), "labelled")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text(docs)).join(F.broadcast(sample), "doc_id")  # 2 * PER_CLASS rows at most
-    rows = runtime.written(rows.repartition(6), "sample")
-
-    def counted(batches):
-        for batch in batches:
-            word, n = np.unique(words.word_spans(batch.column(0).to_pylist(), cased=True)[3], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"])
-
-    tally = rows.select("text").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    common = tally.where("n > 1").orderBy(F.col("n").desc(), "word").limit(VOCABULARY).select("word").collect()
-    vocabulary = np.sort(np.array([r["word"] for r in common], np.int64).view(np.uint64))
-    index = index_vectors(vocabulary)
-
-    def gathered(batches):
-        total = np.zeros(index.shape, np.float64)
-        for batch in batches:
-            total += contexts(*terms(batch.column(0).to_pylist(), vocabulary), index)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
-
-    vectors = np.zeros(index.shape, np.float64)
-    for part in rows.select("text").mapInArrow(gathered, "part binary").toLocalIterator():  # one matrix a partition of the sample
-        vectors += np.frombuffer(part["part"]).reshape(index.shape)
-    norm = np.sqrt((vectors * vectors).sum(1, keepdims=True))
-    vectors = np.hstack([vectors / np.maximum(norm, 1e-9), index / np.sqrt(NONZERO)]).astype(np.float32)
+    sample = runtime.written(lowest[0].unionByName(lowest[1]), "labelled", 2 * PER_CLASS)
+    vectors = word_vectors(context_sums(docs))
+    shipped = spark.sparkContext.broadcast(vectors)
 
     def measured(batches):
         for batch in batches:
-            x = pooled(batch.column(2).to_pylist(), vocabulary, vectors)
+            x = pooled(batch.column(2).to_pylist(), shipped.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "y", "x"])
 
-    data = sorted(rows.select("doc_id", "y", "text").mapInArrow(measured, "doc_id long, y int, x binary").collect())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text(docs)).join(F.broadcast(sample), "doc_id")  # 2 * PER_CLASS rows at most
+    rows = rows.select("doc_id", "y", "text").mapInArrow(measured, "doc_id long, y int, x binary")
+    data = sorted(rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect())  # at most 2 * PER_CLASS
     if len({r["y"] for r in data}) < 2:
-        return Model(vocabulary, vectors, None)
+        return Model(vectors, None)
     x = np.array([np.frombuffer(r["x"], np.float32) for r in data], np.float64)
     y = np.array([r["y"] for r in data], np.float64)
     share = np.array([counts[0], counts[1]], float) / np.array([(y == 0).sum(), (y == 1).sum()])
-    return Model(vocabulary, vectors, train(x, y, share[y.astype(int)]))
+    return Model(vectors, train(x, y, share[y.astype(int)]))
 
 
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """docs with the score appended under name; nulls score as empty texts."""
+    """docs with the score appended under name, which must be free; nulls score as empty texts."""
     spark = docs.sparkSession
     runtime.bound_batches(spark)
-    shipped = spark.sparkContext.broadcast((model.vocabulary, model.vectors, model.net))
+    shipped = spark.sparkContext.broadcast((model.vectors, model.net))
+    utf8 = runtime.free_name(docs, "utf8", name)
 
     def run(batches):
         mine = Model(*shipped.value)
         for batch in batches:
-            score = mine([t or b"" for t in batch.column("_utf8").to_pylist()])
-            yield pa.RecordBatch.from_arrays([c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_utf8"] + [pa.array(score, pa.float64())], names=[n for n in batch.schema.names if n != "_utf8"] + [name])
+            score = mine([t or b"" for t in batch.column(utf8).to_pylist()])
+            kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != utf8]
+            yield pa.RecordBatch.from_arrays([*(c for _, c in kept), pa.array(score, pa.float64())], names=[*(n for n, _ in kept), name])
 
-    rows = docs.withColumn("_utf8", _text(docs))
+    rows = docs.withColumn(utf8, _text(docs))
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     return rows.mapInArrow(run, schema)
 
@@ -251,6 +294,6 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier accepts."""
-    columns = docs.columns
-    return scored(docs, fit(docs, labels), "_quality").where(F.col("_quality") >= ACCEPT).select(*columns)
+    """The rows of docs that the classifier accepts, with their columns as they are, whatever their names; null texts score as empty ones."""
+    name = runtime.free_name(docs, "quality")
+    return scored(docs, fit(docs, labels), name).where(F.col(name) >= ACCEPT).drop(name)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curaloom.storage import fresh_path, shared_folder, written
 
-__all__ = ["bound_batches", "fresh_path", "shared_folder", "table", "written"]
+__all__ = ["bound_batches", "free_name", "fresh_path", "shared_folder", "table", "written"]
 
 #: Arrow batches end at this many bytes, so that very long texts don't pile up in a Python worker.
 BATCH_BYTES = "8m"
@@ -18,3 +18,11 @@ def bound_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free_name(df: DataFrame, base: str, *others: str) -> str:
+    """A column name that neither df nor others have, whatever their case."""
+    taken = {x.lower() for x in (*df.columns, *others)}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base

@@ -44,14 +44,89 @@ def test_without_labels_all_score_a_half(spark):
     assert quality.quality(frame.limit(0), none).count() == 0
 
 
-def test_scores_do_not_depend_on_batches():
+def _vector(word: bytes) -> np.ndarray:
+    """A word's index vector, from its own hash."""
+    h = quality.words.word_spans([word], cased=True)[3]
+    place, sign = quality.index_vectors(h)
+    out = np.zeros(quality.DIM)
+    for p, s in zip(place[0], sign[0], strict=True):
+        out[p] += s
+    return out
+
+
+def _slot_of(word: bytes) -> int:
+    return int(quality.words.word_spans([word], cased=True)[3][0]) % quality.SLOTS
+
+
+def _shape_of(word: bytes) -> int:
+    """Case, ending and length of a word, looked up one by one."""
+    ups, lows = sum(65 <= c <= 90 for c in word), sum(97 <= c <= 122 for c in word)
+    case = (3 if not lows else 0) if not ups else 1 if ups == 1 and 65 <= word[0] <= 90 else 2
+    ends = (b".", b",", b"!", b"?", b";:", b"0123456789", b"\"')]}", b"*", b"$%&#@", b"|-_/\\<>=+~^`")
+    end = 11 if word[-1] >= 0x80 else next((i for i, x in enumerate(ends, start=1) if word[-1] in x), 0)
+    size = sum(len(word) >= n for n in (3, 7, 13))
+    return (case * 12 + end) * 4 + size
+
+
+TEXTS = [b"a B cc a a", "Été $$$ x!! x!! x!!  die ETE. 12 a|".encode(), b"", b" \n", b"one", b"very-long-hyphened-word yes? no; (so) A1 Ab"]
+
+
+def test_contexts_against_a_loop():
+    want = np.zeros((quality.SLOTS, quality.DIM))
+    for text in TEXTS:
+        w = text.split()
+        for i in range(len(w)):
+            for far in range(1, quality.WINDOW + 1):
+                if i + far < len(w):
+                    want[_slot_of(w[i])] += np.roll(_vector(w[i + far]), far)
+                    want[_slot_of(w[i + far])] += np.roll(_vector(w[i]), -far)
+    assert np.array_equal(quality.contexts(TEXTS), want) and want.any()
+
+
+def test_pooling_against_a_loop():
+    vectors = quality.word_vectors(quality.contexts(TEXTS))
+    got = quality.pooled(TEXTS, vectors)
+    for text, row in zip(TEXTS, got, strict=True):
+        w, want = text.split(), np.zeros(6 * quality.DIM)
+        if w:
+            shapes = [quality.SHAPES - 1 if i and w[i] == w[i - 1] else _shape_of(w[i]) for i in range(len(w))]
+            parts = [np.array([_vector(x) for x in w]), np.array([vectors[_slot_of(x)] for x in w]), quality.SHAPE_VECTORS[shapes]]
+            want = np.concatenate([f for x in parts for f in (x.mean(0), x.std(0))])
+        assert np.allclose(row, want, atol=1e-3)
+
+
+def test_scores_do_not_depend_on_batches_or_pieces(monkeypatch):
     docs, _ = corpus(300)
     texts = [t.encode() for _, t, _ in docs]
-    vocabulary = np.sort(np.unique(quality.words.word_spans(texts, cased=True)[3])[:50])
-    vectors = np.hstack([quality.index_vectors(vocabulary)] * 2)
-    whole = quality.pooled(texts, vocabulary, vectors)
-    assert np.allclose(whole, np.vstack([quality.pooled([t], vocabulary, vectors) for t in texts]), atol=1e-5)
-    assert not quality.pooled([b"", b" "], vocabulary, vectors).any()
+    sums = quality.contexts(texts)
+    vectors = quality.word_vectors(sums)
+    whole = quality.pooled(texts, vectors)
+    monkeypatch.setattr(quality, "_AT_ONCE", 13)  # a long text is looked at in pieces
+    assert np.array_equal(sums, sum(quality.contexts([t]) for t in texts))
+    assert np.allclose(whole, np.vstack([quality.pooled([t], vectors) for t in texts]), atol=1e-3)
+    assert not quality.pooled([b"", b" "], vectors).any()
+
+
+def test_context_sums_are_of_all_rows(spark):
+    docs, _ = corpus(200)
+    frame = spark.createDataFrame([(t,) for _, t, _ in docs] + [(None,), ("",)], "text string").repartition(5)
+    assert np.array_equal(quality.context_sums(frame), quality.contexts([t.encode() for _, t, _ in docs]))
+
+
+def test_clashing_columns_tied_labels_and_repeated_ids(spark):
+    docs, labels = corpus(120)
+    names = ["utf8", "_utf8", "quality", "_quality", "Quality", "score", "y"]
+    docs = [(*d[:2], *names) for d in docs]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        frame = spark.createDataFrame([*docs, docs[0], docs[0]], ["doc_id", "text", *names])
+        twice = spark.createDataFrame([*labels, *((i, 1 - y, t) for i, y, t in labels[:3])], "doc_id long, quality int, toxic int")
+        lower = spark.createDataFrame([(i, 0 if i < 3 else y, t) for i, y, t in labels], "doc_id long, quality int, toxic int")
+        kept = quality.accepted(frame, twice)
+        assert kept.columns == frame.columns and all([r[n] for n in names] == names for r in kept.collect())
+        assert sorted(map(str, kept.collect())) == sorted(map(str, quality.accepted(frame, lower).collect()))
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
 
 
 def test_temperature_calibrates():
