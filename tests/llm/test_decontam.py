@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from curaloom.llm import decontam
 
 
-def grams(w):
-    return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+def grams(w, k):
+    return Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
 
 
 def brute(docs, items):
@@ -17,11 +17,12 @@ def brute(docs, items):
         w = (text or "").lower().split()
         for j, t in items:
             v = (t or "").lower().split()
-            if len(v) < 5:
+            k = min(5, len(v))
+            if not k:
                 continue
             best = 0
             for s in range(max(1, len(w) - len(v) + 1)):
-                a, b = grams(w[s : s + len(v)]), grams(v)
+                a, b = grams(w[s : s + len(v)], k), grams(v, k)
                 if a:
                     best = max(best, sum((a & b).values()) / sum((a | b).values()))
             if best >= 0.75:
@@ -41,6 +42,9 @@ def corpus():
             for _ in range(r.choice([0, 0, 0, 1, 2, 4])):
                 k = r.randrange(len(v))
                 v[k : k + r.choice([0, 1])] = [word()] * r.choice([0, 1])
+            if i % 5 == 0 and len(v) > 30:  # the same words in another order: halves swapped, or rolled
+                cut = r.choice([len(v) // 2, r.randrange(len(v))])
+                v = v[cut:] + v[:cut]
             at = r.randrange(len(w) + 1)
             w[at:at] = [x.upper() for x in v] if i % 3 else v
         docs.append((i, r.choice([" ", "\n", " \t"]).join(w)))
@@ -78,6 +82,52 @@ def test_blocks_find_every_fingerprint_in_the_radius(spark):
     assert both.where("n = 0").count() == 0
 
 
+def test_reordered_words_are_found(spark):
+    item = [f"w{i}" for i in range(100)]
+    filler = [f"f{i}" for i in range(60)]
+    swapped = filler[:30] + item[50:] + item[:50] + filler[30:]
+    docs = spark.createDataFrame([(1, " ".join(swapped)), (2, " ".join(item)), (3, " ".join(filler))], "doc_id long, text string")
+    got = {r.doc_id: (r.similarity, r.start) for r in decontam.leaks(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()}
+    assert got == {1: (92 / 100, 30), 2: (1.0, 0)}
+
+
+def test_short_items_are_whole_sequences(spark):
+    docs = [(1, "z One two THREE z"), (2, "one two"), (3, "two three one"), (4, "answer"), (5, None), (6, "one two three four")]
+    items = [(10, "one two three"), (11, "answer"), (12, ""), (13, "one two three four"), (14, "q w e r t y u i o p")]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items) == {(1, 10): 1.0, (4, 11): 1.0, (6, 10): 1.0, (6, 13): 1.0}
+
+
+def test_long_texts_and_frequent_shingles(spark):
+    r = random.Random(9)
+    item = [r.choice(["x", "y"]) for _ in range(40)]
+    long = [r.choice(["x", "y"]) for _ in range(3000)] + item + ["x"] * 500
+    docs, items = [(1, " ".join(long)), (2, "x " * 33), (3, " ".join(item * 20))], [(1, " ".join(item)), (2, "x " * 40), (3, "y x " * 9)]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute(docs, items)
+    assert set(got) == set(want) and all(abs(got[k] - v) < 1e-12 for k, v in want.items()) and len(want) >= 4
+
+
+def test_simhash_of_more_words_than_sixteen_bits_count(spark):
+    n = 70_000
+    fp = spark.range(1).select(decontam.simhash(F.concat(F.array_repeat(F.lit("a"), n), F.array(F.lit("b")))).alias("fp"), F.xxhash64(F.lit("a")).alias("a")).first()
+    assert fp.fp == fp.a
+
+
+def test_fingerprints_of_windows_that_pass_lie_in_the_radius(spark):
+    """Items of 18 to 60 words with other words at an edge, so that the similarity is just 0.75 and up: the worst case."""
+    r = random.Random(11)
+    rows = []
+    for i in range(1500):
+        n = r.randrange(18, 61)
+        item = [f"{r.getrandbits(40)}" for _ in range(n)]
+        changed = (n - 4) // 7  # shingles of a bag that may differ
+        rows.append((i, item, [f"{r.getrandbits(40)}" for _ in range(changed)] + item[changed:]))
+    frame = spark.createDataFrame(rows, "i long, a array<string>, b array<string>")
+    far = frame.select(F.bit_count(decontam.simhash(F.col("a")).bitwiseXOR(decontam.simhash(F.col("b")))).alias("far"))
+    assert far.where(F.col("far") > decontam.RADIUS).count() <= 1
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")
     out = decontam.leaks(docs, spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string"))
