@@ -1,11 +1,14 @@
 """Personal data with offset-preserving deobfuscation.
 
-Two transducers run over every whole text. The first replaces homoglyphs one for one, so offsets stay.
-The second rewrites at/dot disguises, spelled digits, letters that stand for digits between digits, and
-invisible characters, and records each edit; the
-identifiers found in what it writes are mapped back through the edits to source characters. The plain
-patterns run on the source itself, too; their spans always stay, and a mapped span is added unless a
-plain one of its kind covers it. All patterns are searched without backtracking over long runs.
+A chain of transducers runs over every whole text. The first replaces homoglyphs one for one, so offsets stay.
+The others record their edits: one rewrites disguised characters (invisible ones, character references,
+bracketed at and dot, letters that stand for digits between digits), one spelled digits and the dots between
+numbers, one the words at and dot of addresses. The identifiers found in what the last one writes are mapped
+back through all edits to source characters. The plain patterns run on the source itself, too; their spans
+always stay, and a mapped span is added unless a plain one of its kind covers it.
+
+Whether the words at and dot disguise an address is decided by what stands around them, see `addressed`. All
+searches are linear: patterns don't backtrack over long runs, and no part of an identifier has a longest length.
 
 Offsets count code points; ends are exclusive.
 """
@@ -88,21 +91,28 @@ _SPELLED = {
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 _NUMBER = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
-_AT, _DOT = "(?:at|arroba|@)", r"(?:dot|punkt|punto|point|\.)"
-_DISGUISED = re.compile(
-    rf"(?P<zero>[­​-‍⁠﻿]+)"
-    rf"|(?P<at>[ ]?[\[({{<][ ]?{_AT}[ ]?[\])}}>][ ]?|&(?:\#0*64|\#x0*40|commat);)"
-    rf"|(?P<dot>[ ]?[\[({{<][ ]?{_DOT}[ ]?[\])}}>][ ]?|&(?:\#0*46|\#x0*2e|period);)"
-    rf"|(?P<nought>(?<=[0-9])[Oo](?=[0-9]))|(?P<one>(?<=[0-9])[Il](?=[0-9]))"
-    rf"|(?P<run>(?<!\w)(?:plus[ -]?)?(?:[0-9]{{1,4}}[ ,.-]{{1,2}}){{0,8}}{_NUMBER}(?:[ ,-]{{1,2}}(?:{_NUMBER}|[0-9]{{1,4}})(?!\w))+(?!\w))"
-    rf"|(?P<plain>(?<=[A-Za-z0-9])[ ](?:at|dot)[ ](?=[A-Za-z0-9]))",
+_DOT_WORD = "(?:dot|punkt|punto|point)"
+_CHARACTERS = re.compile(
+    rf"(?P<zero>[\u00ad\u200b-\u200d\u2060\ufeff]+)"
+    rf"|(?P<at>[ ]?[\[({{<][ ]?(?:at|arroba|@)[ ]?[\])}}>][ ]?|&(?:\#0*64|\#x0*40|commat);)"
+    rf"|(?P<dot>[ ]?[\[({{<][ ]?(?:{_DOT_WORD}|\.)[ ]?[\])}}>][ ]?|&(?:\#0*46|\#x0*2e|period);)"
+    rf"|(?P<letters>(?<=[0-9])[OoIl]+(?=[0-9]))",
     re.IGNORECASE,
 )
-_TRIGGER = re.compile(rf"&(?:\#|commat;|period;)|[0-9][OoIl][0-9]|[­​-‍⁠﻿\[({{<]|(?<!\w)(?:{_NUMBER}[ ,-]{{1,2}}(?:{_NUMBER}|[0-9])|dot[ ])", re.IGNORECASE)
-_PIECE = re.compile(rf"plus|{_NUMBER}|[0-9]+", re.IGNORECASE)
-# Last labels that a bare "x at y dot z" must end in to be taken for an address.
-_LAST = "(?:com|org|net|edu|gov|mil|int|info|biz|name|io|ai|app|dev|co|me|eu|uk|us|ca|au|de|at|ch|fr|be|es|mx|it|nl|pt|br|pl|se|jp|cn|in|ru)"
-_BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?: dot [A-Za-z0-9_%+-]{{1,64}}){{0,4}} at [A-Za-z0-9-]{{1,63}}(?:(?: dot |\.)[A-Za-z0-9-]{{1,63}}){{0,4}} dot {_LAST}(?![A-Za-z])", re.IGNORECASE)
+_PLAIN = {"zero": "", "at": "@", "dot": "."}
+_AS_DIGITS = str.maketrans("OoIl", "0011")
+_MAY_BE_CHARACTERS = re.compile(r"&(?:\#|commat;|period;)|[0-9][OoIl]+[0-9]|[\u00ad\u200b-\u200d\u2060\ufeff\[({<]", re.IGNORECASE)
+_NUMERAL = re.compile(rf"(?<!\w)(?:plus|{_NUMBER}|[0-9]+)(?!\w)", re.IGNORECASE)
+_GAP = re.compile(rf"[ ,-]{{1,2}}|[ ]?\.[ ]?|[ ]+(?P<dot>{_DOT_WORD})[ ]+", re.IGNORECASE)
+_MAY_BE_NUMBERS = re.compile(rf"(?<!\w){_NUMBER}(?:[ ,.-]{{1,2}}|[ ]+{_DOT_WORD}[ ]+)(?:{_NUMBER}|[0-9])|[0-9](?:[ ,.-]{{1,2}}{_NUMBER}(?!\w)|[ ]+{_DOT_WORD}[ ]+(?:[0-9]|{_NUMBER}))", re.IGNORECASE)
+_AT = re.compile(rf"(?:(?<=[A-Za-z0-9_%+-])[ ](?:at|arroba)[ ]|[ ]?@[ ]?)(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9]|[ ]{_DOT_WORD}[ ]|[ ]\.[ ]))", re.IGNORECASE)
+_LABEL = re.compile(r"[A-Za-z0-9-]++")
+_NEXT_DOT = re.compile(rf"\.(?=[A-Za-z0-9-])|(?P<dot>[ ]dot[ ](?=[A-Za-z0-9-]))|(?P<word>[ ]{_DOT_WORD}[ ](?=[A-Za-z0-9-]))|(?P<wide>[ ]\.[ ](?=[a-z0-9-]))", re.IGNORECASE)
+_DOT_BEFORE = re.compile(rf"[ ]{_DOT_WORD}[ ]\Z", re.IGNORECASE)
+# Frequent last labels, and words that announce an address, each one kind of evidence among others.
+_ENDING = re.compile("(?:com|org|net|edu|gov|mil|int|info|biz|name|io|ai|app|dev|co|me|eu|uk|us|ca|au|de|at|ch|fr|be|es|mx|it|nl|pt|br|pl|se|jp|cn|in|ru)", re.IGNORECASE)
+_CUE = re.compile(r"(?<!\w)(?:e-?mails?|mails?|contact|write|reach|send|address|adresse|courriel|contacte|écri[a-z]+|kontakt|schreib\w*|correo|escrib\w*|contactar)(?!\w)", re.IGNORECASE)
+_CUE_REACH = 48
 
 
 class Edits:
@@ -133,42 +143,111 @@ class Edits:
         return at - y + b
 
 
-def _digits(run: str) -> str:
-    return "".join("+" if p.lower() == "plus" else str(_SPELLED.get(p.lower(), p)) for p in _PIECE.findall(run))
-
-
-def undisguised(text: str) -> Edits:
-    """The second transducer's output."""
-    bare = [m.span() for m in _BARE.finditer(text)] if " dot " in text.lower() else []
-    starts = [a for a, _ in bare]
-    found = []
-    for m in _DISGUISED.finditer(text):
-        kind = m.lastgroup
-        if kind == "plain":
-            i = bisect_right(starts, m.start()) - 1
-            word = m[0].strip().lower()
-            numeric = word == "dot" and text[m.start() - 1].isdigit() and text[m.end()].isdigit()
-            if not numeric and (i < 0 or m.end() > bare[i][1]):
-                continue
-            found.append((*m.span(), "@" if word == "at" else "."))
-        else:
-            found.append((*m.span(), {"zero": "", "at": "@", "dot": ".", "nought": "0", "one": "1"}.get(kind) if kind != "run" else _digits(m[0])))
+def _characters(text: str) -> Edits:
+    return Edits(text, [(*m.span(), _PLAIN.get(m.lastgroup, m[0].translate(_AS_DIGITS))) for m in _CHARACTERS.finditer(text)])
+
+
+def _numbers(text: str) -> Edits:
+    """Runs of numerals of which one or a dot between two is spelled, as digits and dots; single numerals stay."""
+    found, run = [], []
+
+    def close():
+        if len(run) > 1 and any(not new.isascii() or new != text[a:b] for a, b, new in run):
+            found.append((run[0][0], run[-1][1], "".join(new for _, _, new in run)))
+        run.clear()
+
+    for m in _NUMERAL.finditer(text):
+        word = m[0].lower()
+        new = "+" if word == "plus" else str(_SPELLED.get(word, m[0]))
+        gap = _GAP.fullmatch(text, run[-1][1], m.start()) if run else None
+        if gap is None or new == "+":
+            close()
+        elif gap["dot"] or "." in gap[0]:
+            run.append((*gap.span(), "."))
+        run.append((*m.span(), new))
+    close()
     return Edits(text, found)
 
 
+def addressed(text: str, start: int, at: int, end: int, sign: str, dots: set[str], last: str) -> bool:
+    """Whether text[start:end], with sign at `at`, is taken for an address whose at or dots are words or stand apart.
+
+    A plain @ is enough where dots are words, and an @ that stands apart where they are plain. Otherwise it takes
+    evidence: a cue word before, a sign or digit in the local part, or, where dots are words or stand apart, that the
+    phrase stands alone between ends of lines or marks, or "dot" before a frequent last label. A last label has two
+    letters or more.
+    """
+    if not (len(last) > 1 and last.isalpha()):
+        return False
+    if (sign == "@" and "wide" not in dots) or ("@" in sign and dots == {"plain"}):
+        return True
+    local = text[start:at]
+    if any(c in "._%+-" or c.isdigit() for c in local.strip(".-")) or _CUE.search(text, max(0, start - _CUE_REACH), start):
+        return True
+    if dots == {"plain"}:
+        return False
+    before, after = text[max(0, start - 2) : start].rstrip(" "), text[end : end + 1]
+    alone = (not before or not before[-1].isalnum()) and (not after or not (after.isalnum() or after == " "))
+    return alone or ("word" not in dots and bool(_ENDING.fullmatch(last)))
+
+
+def _addresses(text: str) -> Edits:
+    """at and dot of addresses, where they are words or stand apart, as @ and '.'."""
+    found, floor = [], 0
+    for m in _AT.finditer(text):
+        if m.start() < floor:
+            continue
+        start, seps = m.start(), []
+        while start > floor and text[start - 1] in _LOCAL:
+            start -= 1
+        if start == m.start():
+            continue
+        while (dot := _DOT_BEFORE.search(text, max(floor, start - 8), start)) and dot.start() > floor and text[dot.start() - 1] in _LOCAL:
+            seps.append((*dot.span(), "."))
+            start = dot.start()
+            while start > floor and text[start - 1] in _LOCAL:
+                start -= 1
+        label = _LABEL.match(text, m.end())
+        dots, before = {"dot"} if seps else set(), len(seps)
+        while (dot := _NEXT_DOT.match(text, label.end())) and (after := _LABEL.match(text, dot.end())):
+            kind = dot.lastgroup or "plain"
+            if kind == "wide" and after[0][0].isupper():
+                break
+            dots.add(kind)
+            if kind != "plain":
+                seps.append((*dot.span(), "."))
+            label = after
+        if (m[0] == "@" and len(seps) == before == 0) or not addressed(text, start, m.start(), label.end(), m[0], dots, label[0]):
+            continue
+        if m[0] != "@":
+            seps.append((*m.span(), "@"))
+        found += sorted(seps)
+        floor = label.end()
+    return Edits(text, found)
+
+
+def undisguised(text: str) -> list[Edits]:
+    """What the transducers with edits did, in order; those that find nothing are left out."""
+    chain = []
+    for may, run in ((_MAY_BE_CHARACTERS.search, _characters), (_MAY_BE_NUMBERS.search, _numbers), (_AT.search, _addresses)):
+        if may(text):
+            edits = run(text)
+            if edits.edits:
+                chain.append(edits)
+                text = edits.text
+    return chain
+
+
 def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """The plain spans, and all spans; both by start, then kind."""
     base = base_spans(text)
     spans = list(base)
     folded = text.translate(_FOLD) if _FOLDED.search(text) else text
-    changed = folded is not text
-    edits = None
-    if _TRIGGER.search(folded):
-        edits = undisguised(folded)
-        changed = changed or bool(edits.edits)
-    if changed:
-        for kind, a, b in base_spans(edits.text if edits else folded):
-            a, b = edits.source(a, b) if edits else (a, b)
+    chain = undisguised(folded)
+    if chain or folded is not text:
+        for kind, a, b in base_spans(chain[-1].text if chain else folded):
+            for edits in reversed(chain):
+                a, b = edits.source(a, b)
             if not any(k == kind and x <= a and b <= y for k, x, y in base):
                 spans.append((kind, a, b))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])

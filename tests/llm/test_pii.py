@@ -55,6 +55,17 @@ def test_base_equals_the_patterns_on_random_texts():
         ("call +1 (7O6) 555-3l38 now", "phone", "+1 (7O6) 555-3l38"),
         ("call +1 (724) five five five 7058 now", "phone", "+1 (724) five five five 7058"),
         ("ja​ne@exam​ple.com", "email", "ja​ne@exam​ple.com"),
+        ("write john at example.com now", "email", "john at example.com"),
+        ("john at example dot museum", "email", "john at example dot museum"),
+        ("so john @ example . com it is", "email", "john @ example . com"),
+        ("and " + "a" * 70 + " at example dot com", "email", "a" * 70 + " at example dot com"),
+        ("a b at c dot d dot e dot f dot g dot h dot com", "email", "b at c dot d dot e dot f dot g dot h dot com"),
+        ("server one nine two dot one six eight dot zero dot one up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("is jane.doe at example.org", "email", "jane.doe at example.org"),
+        ("say john [at] example dot com", "email", "john [at] example dot com"),
+        ("ja​ne at exam​ple dot com", "email", "ja​ne at exam​ple dot com"),
+        ("pay 4111 one one one one 1111-1111 end", "card", "4111 one one one one 1111-1111"),
+        ("tel plus four nine, one seven one, two three four five six seven eight", "phone", "plus four nine, one seven one, two three four five six seven eight"),
     ],
 )
 def test_disguises(text, kind, part):
@@ -68,8 +79,66 @@ def test_clean_prose_has_none():
     assert pii.all_spans("We look at the dot on a page (at home), one two three, un de deux.")[1] == []
 
 
+@pytest.mark.parametrize("text", ["look at example.com", "We were looking at polka dot dresses today", "She was looking at polka dot dresses.", "meet @ noon . Then go", "the cat sat at 3.30 pm", "he arrived at U.S. customs", "version one dot two", "open at nine.Then six", "un, deux. Trois", "3 @ 4.50 each", "He was quick at one point it seems"])
+def test_prose_that_resembles_addresses_has_none(text):
+    assert pii.all_spans(text)[1] == []
+
+
+def _luhn_card(r):
+    digits = [4] + [r.randrange(10) for _ in range(14)]
+    total = sum(sum(divmod(d * (2 - i % 2), 10)) for i, d in enumerate(digits))
+    return "".join(map(str, digits)) + str(-total % 10)
+
+
+def _disguised(r):
+    """An identifier, its kind and a disguise, as (text, kind)."""
+    names = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+    word = lambda n: "".join(r.choice("bcdfghjklmnpqrstvwxyz") for _ in range(n))
+    spell = lambda digits: " ".join(names[int(d)] for d in digits)
+    kind = r.choice(pii.KINDS)
+    if kind == "email":
+        local = r.choice([word(6), f"{word(4)}.{word(5)}", f"{word(5)}{r.randrange(100)}"])
+        host = r.choice([word(7), f"{word(4)}.{word(6)}"]) + "." + r.choice(["com", "org", "museum", "de"])
+        at, dot = r.choice([(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" AT ", " DOT "), ("&#64;", "&#46;"), (" @ ", "."), (" @ ", " . "), ("＠", "．"), ("​@", "."), (" [at] ", " dot "), (" at ", ".")])
+        text = local + at + host.replace(".", dot)
+        if dot == "." and at == " at ":
+            text = f"email {text}"
+        return text, kind
+    if kind == "ip":
+        parts = [str(r.randrange(256)) for _ in range(4)]
+        return r.choice([" dot ".join(parts), "[.]".join(parts), " dot ".join(map(spell, parts)), "．".join(parts), "&period;".join(parts)]), kind
+    if kind == "card":
+        d = _luhn_card(r)
+        return r.choice([spell(d), "".join(chr(0xFF10 + int(x)) for x in d), " ".join([d[:4], spell(d[4:8]), d[8:12], d[12:]]), "​".join([d[:8], d[8:]])]), kind
+    d = f"1{r.randrange(200, 999)}{r.randrange(200, 999)}{r.randrange(100, 999)}{r.randrange(1, 10)}"
+    return r.choice(["plus " + spell(d), f"+1 ({d[1:4]}) {spell(d[4:7])} {d[7:]}", "＋" + d, f"+1 {d[1:4]} {d[4:7]}‑{d[7:]}", "+1 " + d[1:].replace("0", "O")]), kind
+
+
+def test_recall_and_false_positives_on_generated_disguises():
+    import random
+
+    r = random.Random(12)
+    filler = "the quick brown fox jumps over a lazy dog while nobody counts, and the rest of the day was calm".split()
+    found, n = {k: [0, 0] for k in pii.KINDS}, 3000
+    for _ in range(n):
+        text, kind = _disguised(r)
+        head, tail = " ".join(r.sample(filler, 5)), " ".join(r.sample(filler, 5))
+        whole = f"{head}: {text}; {tail}"
+        spans = [s for s in pii.all_spans(whole)[1] if s[0] == kind]
+        want = text.removeprefix("email ")
+        at = whole.index(want)
+        found[kind][0] += any(a <= at + 1 and b >= at + len(want) - 1 for _, a, b in spans)
+        found[kind][1] += 1
+    assert all(hit / of >= 0.99 for hit, of in found.values()), found
+    clean = 0
+    for _ in range(n):
+        w = r.choices([*filler, "at", "dot", "one", "two", "six", "at", "point", "(at home)", "3", "12", "sat.", "@"], k=40)
+        clean += not pii.all_spans(" ".join(w))[1]
+    assert clean / n >= 0.98, clean
+
+
 def test_long_runs_are_quick():
-    for t in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "one " * 50_000, "(" * 100_000, "a dot " * 20_000):
+    for t in (" at a dot" * 30_000, "a at a dot a " * 20_000, "one . " * 50_000, "a @ a . " * 30_000, "1 2 " * 50_000, "a dot a " * 20_000 + "at b dot c", "a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "one " * 50_000, "(" * 100_000, "a dot " * 20_000):
         pii.all_spans(t)
 
 
@@ -78,6 +147,17 @@ def test_redaction():
     assert pii.redact("") == ""
 
 
+def test_empty_table_long_text_and_clashing_columns(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert pii.personal_data(none).count() == pii.redacted(none).count() == 0
+    far = "a b " * 400_000
+    docs = spark.createDataFrame([(1, far + "x@y.zz and jane at mail dot com", 5, "k")], "doc_id long, text string, n_email int, base_sha256 string")
+    row = pii.personal_data(docs).first()
+    assert row.spans == f"email:{len(far)}:{len(far) + 6},email:{len(far) + 11}:{len(far) + 31}" and row.n_email == 1
+    out = pii.redacted(docs).first()
+    assert out.text == far + "<EMAIL> and <EMAIL>" and (out.n_email, out.base_sha256) == (5, "k")
+
+
 def test_query_rows(spark):
     docs = spark.createDataFrame([(1, "x b@c.de", "e"), (2, None, "e"), (None, "", None), (1, "x b@c.de", "e")], "doc_id long, text string, spans string")
     rows = pii.personal_data(docs).collect()
