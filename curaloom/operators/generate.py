@@ -138,7 +138,9 @@ def evaluated(records: DataFrame, who, config: c.HarnessConfig = c.HarnessConfig
     from curaloom.operators.score import scored
 
     rows = who.responses(records).withColumn("cwe", t.cwe_strict(F.col("cwe"))).withColumn("_code", t.java_code(F.col("response")))
-    javac, semgrep = verify.probed(config)
+    texts = verify.rule_texts(rules)
+    if not verify.probed(config, texts)[1]:
+        texts = {}
     kinds = {"compiles": BooleanType(), "vuln_fixed": BooleanType(), "compile_detail": StringType(), "vuln_detail": StringType()}
     schema = StructType([*rows.schema.fields, *(StructField(n, k) for n, k in kinds.items())])
 
@@ -151,7 +153,7 @@ def evaluated(records: DataFrame, who, config: c.HarnessConfig = c.HarnessConfig
                     out.append((False, False, missing, missing))
                     continue
                 ok, detail = verify.compiles(code, config)
-                fixed, found = verify.clean(code, cwe, config, rules)
+                fixed, found = verify.clean(code, cwe, config, texts)
                 out.append((ok, fixed, detail, found))
             extra = pd.DataFrame(out, columns=["compiles", "vuln_fixed", "compile_detail", "vuln_detail"], index=frame.index, dtype=object)
             yield pd.concat([frame, extra], axis=1)

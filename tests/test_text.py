@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import shutil
+import subprocess
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,20 +79,53 @@ def test_settings():
     p = c.PrepConfig.from_env({"PREP_MAX_CHARS": "9", "PREP_SEMGREP_FILTER": "1", "PREP_NEGATIVES_FRAC": "0.2"})
     assert (p.max_chars, p.semgrep_filter, p.negatives_frac) == (9, True, 0.2)
     assert c.HarnessConfig.from_env({"HARNESS_W_COMPILE": "0.5"}).weight_compile == 0.5
-    assert c.TrainConfig.from_env({"FT_TARGET_MODULES": "a, b,", "FT_EPOCHS": "1"}).summary()["target_modules"] == ["a", "b"]
+    assert c.ChatConfig.from_env({"FT_TRAIN_FILE": "x.jsonl", "FT_SMOKE_EXAMPLES": "5"}) == c.ChatConfig(train_file="x.jsonl", smoke_examples=5)
     assert c.split_list(" a ,, b ") == ("a", "b")
 
 
-def test_method_text():
+def _method(source, name):
+    """The method by a walk over the characters."""
+    head = re.search(rf"(?:public|private|protected)\s+(?:static\s+)?void\s+{name}\s*\([^)]*\)(?:\s*throws\s+[\w.,\s]+)?\s*\{{", source or "")
+    depth = 1
+    for i in range(head.end() if head else 0, len(source or "") if head else 0):
+        depth += {"{": 1, "}": -1}.get(source[i], 0)
+        if not depth:
+            return source[head.start() : i + 1]
+    return None
+
+
+def test_method_text(spark):
     source = "class A {\n  public static void bad ( int a ) throws X, Y {\n if (x) { y(); }\n }\n void good() {} }"
-    assert java.method_text(source, "bad") == "public static void bad ( int a ) throws X, Y {\n if (x) { y(); }\n }"
-    assert java.method_text("public void bad() { {", "bad") is None and java.method_text("", "bad") is None and java.method_text(None, "bad") is None
+    values = [source, "public void bad() { {", "", None, "void bad() {}", "é public void bad(){}public void bad(){ int x; }", "private\tvoid bad()throws a.B,\nC{ { } } }", "public void bad() {" + "{ x }" * 3000 + "}}"]
+    assert column(spark, values, lambda s: java.method(s, "bad")) == [_method(v, "bad") for v in values]
+    assert _method(values[0], "bad") == "public static void bad ( int a ) throws X, Y {\n if (x) { y(); }\n }"
+    assert column(spark, ["public void goodB2G12() { a }"], lambda s: java.method(s, java.GOOD[0][0])) == ["public void goodB2G12() { a }"]
 
 
 def test_synthesis(spark):
     exec_ = "a\n  Process p = Runtime.getRuntime().exec(cmd + data);\n  Process p = Runtime.getRuntime().exec(cmd + data);\n"
     rows = spark.createDataFrame([("CWE-78", exec_), ("CWE-22", "\tFile f = new File(root + data);  \nx"), ("CWE-22", "File f = new File(data);"), ("CWE-22", "File f = new File(other);"), ("CWE-89", exec_)], "k string, v string")
     got = [r[0] for r in rows.select(java.synthesized(F.col("k"), F.col("v"))).collect()]
-    assert got[0].count("new ProcessBuilder(commandTokens)") == 1 and got[0].count("Runtime.getRuntime") == 1 and '.split("\\\\s+")' in got[0] and '  if (!data.matches("[A-Za-z0-9._-]+"))' in got[0]
-    assert got[1].startswith("\tFile allowedDir = new File(root);\n\tFile f = new File(allowedDir, data);") and got[1].endswith("}\nx")
-    assert 'System.getProperty("user.dir")' in got[2] and got[3] is None and got[4] is None
+    assert got[0].count("Process p = new ProcessBuilder(commandTokens)") == 1 and got[0].count("Runtime.getRuntime") == 1 and "  if (data == null || !data.matches(" in got[0] and "StringTokenizer(cmd)" in got[0]
+    assert got[1].startswith("\tfinal File allowedDir = new File(root);\n") and got[1].endswith("\tFile f = new File(allowedDir, data);\nx") and ".normalize()" in got[1]
+    assert 'new File(System.getProperty("user.dir"))' in got[2] and "new File(data)" not in got[2] and got[3] is None and got[4] is None
+
+
+@pytest.mark.skipif(shutil.which("javac") is None, reason="no compiler")
+def test_repaired_code_compiles_and_guards(spark, tmp_path):
+    """The repaired methods run: they refuse what leads astray and pass what doesn't."""
+    head = "import java.io.*;\n\npublic class %s {\n  static void bad(String root, String data) throws Exception {\n"
+    tail = "    System.out.println(%s);\n  }\n  public static void main(String[] a) throws Exception {\n    try { bad(a[0], a[1]); } catch (SecurityException e) { System.out.println(\"refused\"); }\n  }\n}\n"
+    path = head % "P" + "    File f = new File(root + data);\n" + tail % "f.getName()"
+    command = head % "C" + "    Process p = Runtime.getRuntime().exec(root + data);\n" + tail % "new String(p.getInputStream().readAllBytes()).trim()"
+    rows = spark.createDataFrame([("CWE-22", path), ("CWE-78", command)], "k string, v string")
+    for name, (text,) in zip("PC", rows.select(java.synthesized(F.col("k"), F.col("v"))).collect(), strict=True):
+        (tmp_path / f"{name}.java").write_text(text)
+        subprocess.run(["javac", "-d", str(tmp_path), str(tmp_path / f"{name}.java")], check=True, timeout=120)
+
+    def ran(name, *given):
+        return subprocess.run(["java", "-cp", str(tmp_path), name, *given], capture_output=True, text=True, timeout=60).stdout.strip()
+
+    assert ran("P", "/srv/files", "a.txt") == "a.txt" and ran("P", "/srv/files", "sub/../b.txt") == "b.txt"
+    assert ran("P", "/srv/files", "../x") == ran("P", "/srv/files", "/etc/passwd") == "refused"
+    assert ran("C", "echo one ", "two") == "one two" and ran("C", "echo one ", "two; ls") == "refused"
