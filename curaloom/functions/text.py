@@ -45,6 +45,16 @@ def shingles(x: Column, width: int = 4) -> Column:
     return bound(tokens(x), runs)
 
 
+def shingle_hashes(x: Column, width: int = 4) -> Column:
+    """64-bit hashes of the distinct shingles."""
+
+    def runs(t: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.size(t) - (width - 1)), lambda i: F.xxhash64(F.slice(t, i, width)))
+        return F.array_distinct(F.when(F.size(t) < width, F.array(F.xxhash64(t))).otherwise(many))
+
+    return bound(tokens(x), runs)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two nonempty sets."""
     both = F.size(F.array_intersect(a, b))

@@ -20,19 +20,21 @@ def hash_key(seed: int, *keys: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *(k.cast("string") for k in keys)))
 
 
-def ranked(rows: DataFrame, group: list[str], key: str, tie: list[str]) -> DataFrame:
+def ranked(rows: DataFrame, group: list[str], key: str, tie: list[str], weight: str | None = None) -> DataFrame:
     """rows with rank: each row's place, from 1, in its group by the hexadecimal key, then tie.
 
-    rows should be narrow: they are written, and their number sets how many buckets share the work.
+    With weight, a column of numbers of equal rows, rank is the place of the last of them. rows should be
+    narrow: they are written, and their number sets how many buckets share the work.
     """
     rows = written(rows, "ranked")
     digits = max(1, math.ceil(math.log(max(1.0, math.sqrt(rows.count())), 16)))
     rows = rows.withColumn("_bucket", F.substring(key, 1, digits))
-    totals = rows.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    each = F.col(weight) if weight else F.lit(1)
+    totals = rows.groupBy(*group, "_bucket").agg(F.sum(each).alias("_size"))
     ahead = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     offsets = totals.select(*group, "_bucket", (F.sum("_size").over(ahead) - F.col("_size")).alias("_offset"))
-    inside = Window.partitionBy(*group, "_bucket").orderBy(key, *tie)
-    return rows.join(offsets, [*group, "_bucket"]).withColumn("rank", F.col("_offset") + F.row_number().over(inside)).drop("_bucket", "_offset")
+    inside = Window.partitionBy(*group, "_bucket").orderBy(key, *tie).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.join(offsets, [*group, "_bucket"]).withColumn("rank", F.col("_offset") + F.sum(each).over(inside)).drop("_bucket", "_offset")
 
 
 def _shares(deficits: list[int], size: int, count: int) -> list[int]:
@@ -118,12 +120,23 @@ def negatives(rows: DataFrame, fraction: float = 0.10, seed: int = 43) -> DataFr
 
 
 def with_replay(records: DataFrame, replay: DataFrame, fraction: float = 0.15, seed: int = 43) -> DataFrame:
-    """records (with split) and, in train only, at most int(train rows * fraction) replay records."""
-    cap = records.where("split = 'train'").agg(F.floor(F.count(F.lit(1)) * F.lit(fraction)).alias("cap"))
-    keyed = replay.withColumn("_key", hash_key(seed, F.col("source_id"))).withColumn("_all", F.lit(1))
-    drawn = ranked(keyed.select("_all", "source_id", "_key"), ["_all"], "_key", ["source_id"]).where(F.col("rank") <= cap.first()["cap"])
-    chosen = replay.join(drawn.select("source_id"), "source_id", "left_semi").withColumn("split", F.lit("train"))
-    return records.unionByName(chosen.select(*records.columns))
+    """records (with split) and, in train only, at most int(train rows * fraction) replay records.
+
+    The ids of the pool go in hash order, each with all its rows; of the id at the cap, those rows go that a hash
+    of their contents puts first. So the cap holds for repeated ids and rows, too.
+    """
+    cap = records.where("split = 'train'").agg(F.floor(F.count(F.lit(1)) * F.lit(fraction)).alias("cap")).first()["cap"]
+    pool = written(replay, "pool")
+    ids = pool.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).withColumn("_key", hash_key(seed, F.col("source_id"))).withColumn("_all", F.lit(1))
+    places = written(ranked(ids.select("_all", "source_id", "_key", "n"), ["_all"], "_key", ["source_id"], "n").select("source_id", "n", "rank"), "places")
+    whole = places.where(F.col("rank") <= cap).select(F.col("source_id").alias("_id"))
+    chosen = pool.join(whole, pool["source_id"].eqNullSafe(whole["_id"]), "left_semi")
+    cut = places.where((F.col("rank") > cap) & (F.col("rank") - F.col("n") < cap)).first()  # at most one id
+    if cut:
+        mine = pool.where(F.col("source_id").eqNullSafe(F.lit(cut["source_id"])))
+        contents = F.sha2(F.to_json(F.struct(*pool.columns)), 256)
+        chosen = chosen.unionByName(mine.orderBy(contents).limit(cap - (cut["rank"] - cut["n"])))
+    return records.unionByName(chosen.withColumn("split", F.lit("train")).select(*records.columns))
 
 
 def leaks(rows: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ tool verdicts (unlabelled: tool missing), the benchmark for the replay pool.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curaloom import config as c
@@ -120,7 +122,7 @@ def user_prompts(spark, sf):
 def shingle_stats(spark, sf):
     d = _table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     s = F.col("s")
-    rows = d.select("doc_id", F.size(t.tokens(F.col("text"))).cast("long").alias("n_tokens"), F.array_sort(t.shingles(F.col("text"))).alias("s"))
+    rows = d.select("doc_id", F.size(t.tokens(F.col("text"))).cast("long").alias("n_tokens"), F.sort_array(t.shingles(F.col("text"))).alias("s"))
     return rows.select("doc_id", "n_tokens", F.size(s).cast("long").alias("n_shingles"), F.sha2(F.array_join(s, "\n"), 256).alias("shingles_sha"))
 
 
@@ -161,7 +163,7 @@ def _texts(spark, sf):
 
 @_query(f"WITH {_SIMILAR} SELECT a, b, similarity FROM sim")
 def near_dup_pairs(spark, sf):
-    return similar.similar_classes(similar.shingled(_texts(spark, sf), 0.85)[0], 0.85)
+    return similar.similar_classes(similar.shingled(_texts(spark, sf))[0], 0.85)
 
 
 @_query(f"WITH RECURSIVE {_CLUSTERED} SELECT id, cluster_id FROM cm")
@@ -201,6 +203,15 @@ def replay_mix(spark, sf):
     return _replayed(spark, sf).where("kind = 'replay'").select("source_id", "split")
 
 
+@_query(f"WITH {_NEGATED}, cap AS (SELECT floor((SELECT count(*) FROM h WHERE split = 'train') * 0.15 + (SELECT count(*) FROM ng WHERE split = 'train') * 0.15) AS cap), pool AS (SELECT 'pool:' || doc_id % 7 AS source_id FROM documents), rp AS (SELECT source_id, row_number() OVER (ORDER BY md5('43:' || source_id), source_id) AS k FROM pool), kept AS (SELECT source_id FROM rp, cap WHERE k <= cap) SELECT source_id, count(*) AS n FROM kept GROUP BY source_id")
+def replay_mix_repeated_ids(spark, sf):
+    """A pool as large as the documents whose rows share seven ids: the cap holds, whatever the ids."""
+    d, text = _table(spark, sf, "documents"), F.coalesce("text", F.lit(""))
+    pool = d.select(F.lit("s").alias("system"), text.alias("input"), text.alias("output"), F.lit("general").alias("cwe"), F.lit("").alias("vulnerable_code"), F.concat(F.lit("pool:"), (F.col("doc_id") % 7).cast("string")).alias("source_id"), F.lit("replay").alias("kind"))
+    mixed = splitting.with_replay(splitting.triplets(splitting.negatives(_split_pairs(spark, sf))), pool)
+    return mixed.where("kind = 'replay'").groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @_query(f"""WITH {_REPLAYED}, r AS (SELECT split, cwe, 'fix' AS kind FROM h UNION ALL SELECT split, cwe, 'no_change' FROM ng UNION ALL SELECT 'train', 'general', 'replay' FROM rp)
 SELECT split, count(*) AS total, count(*) FILTER (kind = 'no_change') AS no_change, count(*) FILTER (kind = 'replay') AS replay, count(*) FILTER (cwe = 'CWE-89') AS "CWE-89", count(*) FILTER (cwe = 'CWE-22') AS "CWE-22", count(*) FILTER (cwe = 'CWE-78') AS "CWE-78", count(*) FILTER (cwe = 'general') AS general FROM r GROUP BY split""")
 def split_report(spark, sf):
@@ -212,6 +223,14 @@ def split_leaks(spark, sf):
     return splitting.leaks(splitting.negatives(_split_pairs(spark, sf))).agg(F.count(F.lit(1)).alias("n_leaks"))
 
 
+@_query(f"WITH {_NEGATED}, moved AS (SELECT source_id, CASE WHEN split = 'test' THEN 'train' ELSE split END AS split FROM ng) SELECT moved.source_id || '#neg' AS source_id, moved.split FROM moved ANTI JOIN h ON h.source_id = moved.source_id AND h.split = moved.split")
+def split_leaks_planted(spark, sf):
+    """Leaks where all negatives of the test split went to train."""
+    rows = splitting.negatives(_split_pairs(spark, sf))
+    moved = F.when((F.col("kind") == "no_change") & (F.col("split") == "test"), "train").otherwise(F.col("split"))
+    return splitting.leaks(rows.withColumn("split", moved)).select("source_id", "split")
+
+
 # --- scoring -------------------------------------------------------------------------------------
 
 _RESPONSE = "CASE doc_id % 4 WHEN 0 THEN coalesce(text, '') WHEN 1 THEN 'Sure:' || chr(10) || '```java' || chr(10) || 'public final class A' || doc_id || ' { ' || text || ' }' || chr(10) || '```' || chr(10) || text WHEN 2 THEN 'class B' || doc_id || ' { }  ' ELSE '```' || chr(10) || text || chr(10) || '```' END"
@@ -342,12 +361,13 @@ _JAVA = ("package testcases.a;\nimport testcasesupport.*;\nimport java.io.*;\npu
 
 
 def _java(spark, sf):
-    line = F.regexp_replace(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), r"[^\p{L} ]", "")
-    return _table(spark, sf, "documents").select("doc_id", F.concat(F.lit(_JAVA[0]), F.col("doc_id").cast("string"), F.lit(_JAVA[1]), line, F.lit(_JAVA[2])).alias("source"))
+    """Java sources that hold the whole text of a document, its lines joined by spaces."""
+    text = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), "\n", " "), r"[^\p{L} ]", "")
+    return _table(spark, sf, "documents").select("doc_id", F.concat(F.lit(_JAVA[0]), F.col("doc_id").cast("string"), F.lit(_JAVA[1]), text, F.lit(_JAVA[2])).alias("source"))
 
 
-_LINE = r"regexp_replace(split_part(coalesce(text, ''), chr(10), 1), '[^\p{L} ]', '', 'g')"
-_SOURCE = " || ".join([_q(_JAVA[0]).replace("\n", "' || chr(10) || '"), "doc_id", _q(_JAVA[1]).replace("\n", "' || chr(10) || '"), _LINE, _q(_JAVA[2]).replace("\n", "' || chr(10) || '")])
+_WHOLE = r"regexp_replace(translate(coalesce(text, ''), chr(10), ' '), '[^\p{L} ]', '', 'g')"
+_SOURCE = " || ".join([_q(_JAVA[0]).replace("\n", "' || chr(10) || '"), "doc_id", _q(_JAVA[1]).replace("\n", "' || chr(10) || '"), _WHOLE, _q(_JAVA[2]).replace("\n", "' || chr(10) || '")])
 _STRIPPED = "source"
 for _p in (rf"(?m)^{_S}*package{_S}+[A-Za-z0-9_.]+{_S}*;{_S}*$", rf"(?m)^{_S}*import{_S}+testcasesupport\.[A-Za-z0-9_.*]+{_S}*;{_S}*$", rf"\bextends{_S}+AbstractTestCase(?:Base)?\b"):
     _STRIPPED = f"regexp_replace({_STRIPPED}, '{_p}', '', 'g')"
@@ -361,9 +381,9 @@ def java_stripped(spark, sf):
 
 
 def _rewrite_sql(kind: str, which: int) -> str:
-    pattern, groups, text = java.SINKS[kind][which]
-    new = _q(java.sink_rewrite(groups, text, "\\")).replace("\n", "' || chr(10) || '")
-    return f"regexp_replace(source, '(?sm)\\A(.*?)^{pattern}$', {new})"
+    sink = java.SINKS[kind][which]
+    new = _q(sink.replacement("\\")).replace("\n", "' || chr(10) || '")
+    return f"regexp_replace(source, '(?sm)\\A(.*?)^{sink.pattern}$', {new})"
 
 
 @_query(f"WITH j AS (SELECT doc_id, {_SOURCE} AS source FROM documents) SELECT doc_id, sha256({_rewrite_sql('CWE-78', 0)}) AS process_sha, sha256({_rewrite_sql('CWE-22', 0)}) AS file_sha FROM j")
@@ -377,34 +397,6 @@ def method_extraction(spark, sf):
     return _java(spark, sf).select("doc_id", F.sha2(java.method(F.col("source"), "bad"), 256).alias("method_sha"))
 
 
-# The same over whole texts, their lines joined by spaces; the three queries above, and their SQL, hold the first line only.
-
-
-def _java_whole(spark, sf):
-    lines = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), "\n", " "), r"[^\p{L} ]", "")
-    return _table(spark, sf, "documents").select("doc_id", F.concat(F.lit(_JAVA[0]), F.col("doc_id").cast("string"), F.lit(_JAVA[1]), lines, F.lit(_JAVA[2])).alias("source"))
-
-
-_LINES = r"regexp_replace(translate(coalesce(text, ''), chr(10), ' '), '[^\p{L} ]', '', 'g')"
-_WHOLE = " || ".join([_q(_JAVA[0]).replace("\n", "' || chr(10) || '"), "doc_id", _q(_JAVA[1]).replace("\n", "' || chr(10) || '"), _LINES, _q(_JAVA[2]).replace("\n", "' || chr(10) || '")])
-
-
-@_query(f"WITH j AS (SELECT doc_id, {_WHOLE} AS source FROM documents) SELECT doc_id, sha256({_STRIPPED}) AS stripped_sha FROM j")
-def java_stripped_whole(spark, sf):
-    return _java_whole(spark, sf).select("doc_id", F.sha2(java.stripped(F.col("source")), 256).alias("stripped_sha"))
-
-
-@_query(f"WITH j AS (SELECT doc_id, {_WHOLE} AS source FROM documents) SELECT doc_id, sha256({_rewrite_sql('CWE-78', 0)}) AS process_sha, sha256({_rewrite_sql('CWE-22', 0)}) AS file_sha FROM j")
-def sink_synthesis_whole(spark, sf):
-    j, s = _java_whole(spark, sf), F.col("source")
-    return j.select("doc_id", F.sha2(java.synthesized(F.lit("CWE-78"), s), 256).alias("process_sha"), F.sha2(java.synthesized(F.lit("CWE-22"), s), 256).alias("file_sha"))
-
-
-@_query(f"WITH j AS (SELECT doc_id, {_WHOLE} AS source FROM documents) SELECT doc_id, sha256(source[instr(source, 'public void'):length(source) - 3]) AS method_sha FROM j")
-def method_extraction_whole(spark, sf):
-    return _java_whole(spark, sf).select("doc_id", F.sha2(java.method(F.col("source"), "bad"), 256).alias("method_sha"))
-
-
 # --- augmentation --------------------------------------------------------------------------------
 
 _ATTEMPTED = f"{_DOCS}, tries AS (SELECT cwe, doc_id AS attempt, CASE doc_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'unparseable' WHEN 2 THEN 'rejected' ELSE 'admitted' END AS status FROM d WHERE cwe IS NOT NULL), ad AS (SELECT * FROM (SELECT *, coalesce(sum(CASE WHEN status = 'admitted' THEN 1 ELSE 0 END) OVER (PARTITION BY cwe ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM tries) WHERE b < 20)"
@@ -469,11 +461,12 @@ def csv_round_trip(spark, sf):
     return pair_sources.csv_pairs(spark, path).select(F.sha2("vulnerable_code", 256).alias("vulnerable_sha"), F.sha2("fixed_code", 256).alias("fixed_sha"))
 
 
-@_query(f"WITH {_PROMPTED} SELECT 'doc:' || doc_id AS source_id, sha256(prompt) AS input_sha, cwe FROM u WHERE cwe IS NOT NULL AND doc_id % 10 < 8")
+@_query(f"WITH {_PROMPTED} SELECT 'doc:' || doc_id AS source_id, sha256(prompt) AS input_sha, cwe, CASE doc_id % 10 WHEN 8 THEN 'val' WHEN 9 THEN 'test' ELSE 'train' END AS split FROM u WHERE cwe IS NOT NULL")
 def records_round_trip(spark, sf):
     path = fresh_path(spark, "records")
     records.write_splits(splitting.triplets(_split_pairs(spark, sf).where("cwe is not null")), path)
-    return records.training_records(spark, f"{path}/splits/split=train").select("source_id", F.sha2("input", 256).alias("input_sha"), "cwe")
+    read = [records.training_records(spark, f"{path}/splits/split={s}").withColumn("split", F.lit(s)) for s in c.SPLITS]
+    return reduce(DataFrame.unionByName, read).select("source_id", F.sha2("input", 256).alias("input_sha"), "cwe", "split")
 
 
 @_query(f"SELECT 'CVE-' || doc_id AS ident, {_SCOPE} AS cwe, sha256(text) AS before_sha FROM documents WHERE lang IN ('en', 'fr', 'de') AND doc_id % 3 < 2 AND coalesce(text, '') <> '' AND doc_id % 7 <> 0")
@@ -482,6 +475,6 @@ def cve_round_trip(spark, sf):
     p = _pairs(spark, sf)
     language = F.when(F.col("ord") % 3 == 0, "Java").when(F.col("ord") % 3 == 2, "JavaScript")
     rows = p.select(language.alias("lang"), F.col("vulnerable_code").alias("func_before"), F.when(F.col("ord") % 7 == 0, F.concat("vulnerable_code", F.lit(" \n"))).otherwise(F.concat("vulnerable_code", F.lit(" x"))).alias("func_after"), F.array("cwe").alias("cwe_ids"), F.concat(F.lit("CVE-"), F.col("ord").cast("string")).alias("cve_id"))
-    rows.coalesce(1).write.parquet(f"{path}/cvefixes-all.parquet")
+    rows.write.parquet(f"{path}/cvefixes-all.parquet")
     ident = F.element_at(F.split("source_id", ":"), 2)
     return pair_sources.cve_pairs(spark, path).select(ident.alias("ident"), "cwe", F.sha2("vulnerable_code", 256).alias("before_sha"))

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from curaloom import config as c
 from curaloom.functions import java, text
+from curaloom.storage import written
 
 log = logging.getLogger(__name__)
 
 SCHEMA = "vulnerable_code string, fixed_code string, cwe string, source_id string, kind string, ord long"
 _BLOCK = 65_536
+_AT_ONCE = 10_000
 _ADAPTER_BITS, _FILE_BITS = 58, 36
 
 # The names that CVE collections give a field, the preferred ones first.
@@ -53,8 +55,12 @@ def numbered(rows: DataFrame, order: str) -> DataFrame:
 
 
 def csv_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs of all *.csv below folder; files without the three columns are skipped with a warning, short rows fail."""
+    """Pairs of all *.csv below folder; files without the three columns are skipped with a warning, short rows fail.
+
+    A file is read by one task, since only its beginning tells which line breaks are quoted; it may have 2 GB.
+    """
     need = ("vulnerable_code", "fixed_code", "cwe")
+    columns = [*need, "source_id", "file", "row"]
 
     def run(frames):
         for frame in frames:
@@ -70,8 +76,11 @@ def csv_pairs(spark: SparkSession, folder: str) -> DataFrame:
                     if any(row[k] is None for k in need):
                         raise ValueError(f"{name}:{i}: short row")
                     rows.append((*(row[k] for k in need), f"{name}:{i}", file, i))
+                    if len(rows) == _AT_ONCE:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows.clear()
                 if rows:
-                    yield pd.DataFrame(rows, columns=[*need, "source_id", "file", "row"])
+                    yield pd.DataFrame(rows, columns=columns)
 
     rows = _files(spark, folder, "*.csv").mapInPandas(run, "vulnerable_code string, fixed_code string, cwe string, source_id string, file long, row long")
     return rows.select(*need, "source_id", F.lit("fix").alias("kind"), _order(0, F.col("file"), F.col("row")))
@@ -88,8 +97,8 @@ def java_pairs(spark: SparkSession, folder: str) -> DataFrame:
     stem = F.regexp_replace(F.regexp_replace("name", r"(?i)\.java$", ""), r"[^\p{L}\p{N}_]", "_")
     rows = rows.withColumn("class", F.concat(stem, F.lit("_case")))
     rows = rows.withColumn("vulnerable_code", java.wrapped(F.col("bad"), F.col("imports"), F.col("class")))
-    goods = [(java.method(F.col("source"), pattern), label) for pattern, label in java.GOOD]
-    rows = rows.withColumn("good", F.coalesce(*(F.when(m.isNotNull(), F.struct(m.alias("body"), F.lit(label).alias("variant"))) for m, label in goods)))
+    goods = F.array(*(F.struct(java.method(F.col("source"), pattern).alias("body"), F.lit(label).alias("variant")) for pattern, label in java.GOOD))
+    rows = rows.withColumn("good", F.try_element_at(F.filter(goods, lambda x: x["body"].isNotNull()), F.lit(1)))
     repaired = java.synthesized(F.col("cwe"), F.col("vulnerable_code"))
     own = java.wrapped(java.renamed_bad(F.col("good.body")), F.col("imports"), F.col("class"))
     made = F.col("cwe").isin(*java.SINKS)
@@ -110,36 +119,59 @@ def _field(value: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(*(one(n) for n in names))
 
 
+def _placed(rows: DataFrame, *columns: Column) -> DataFrame:
+    """path, start (of the block that was read), line (in order within the block) and columns of rows of files."""
+    at = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    return rows.select(*at, F.monotonically_increasing_id().alias("line"), *columns)
+
+
+def _numbered_lines(rows: DataFrame) -> DataFrame:
+    """path, row, value of _placed rows before each file's first null value; row grows with the place in the file.
+
+    One aggregate finds every block's first line and first null, whatever the number of files.
+    """
+    blocks = rows.groupBy("path", "start").agg(F.min("line").alias("first"), F.min(F.when(F.col("value").isNull(), F.col("line"))).alias("bad"))
+    place = F.col("start") + F.col("bad") - F.col("first")  # a block has fewer lines than bytes
+    cut = blocks.groupBy(F.col("path").alias("p")).agg(F.min(place).alias("cut"))
+    blocks = written(blocks.join(cut, F.col("path") == F.col("p")).select(F.col("path").alias("p"), F.col("start").alias("s"), "first", "cut"), "blocks")
+    for bad in blocks.where("cut is not null").select("p").distinct().limit(20).collect():
+        log.warning("%s: unreadable line - the rest of the file is skipped", bad["p"])
+    joined = rows.join(blocks, (F.col("path") == F.col("p")) & (F.col("start") == F.col("s")))
+    joined = joined.withColumn("row", F.col("start") + F.col("line") - F.col("first"))
+    return joined.where(F.col("cut").isNull() | (F.col("row") < F.col("cut"))).select("path", "row", "value")
+
+
 def cve_rows(spark: SparkSession, folder: str) -> DataFrame:
     """file, row, value (variant) of all *cvefixes* .jsonl, .json and .parquet files below folder, or folders of parts so named.
 
-    Of a JSON-lines file the rows before the first bad line stay; other unreadable files are skipped.
+    Of a JSON-lines file the rows before the first bad line stay; other JSON files that can't be read are skipped.
+    Files of a kind are read by one scan. Parquet files share one schema, merged.
     """
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", r"(cvefixes[^/]*?)(/part-[^/]*)?$", 1)
+    listed = every.select("path", F.col("_metadata.file_path").alias("url")).withColumn("name", name).where("name <> ''")
+    part = F.col("path").rlike("/part-[^/]*$")
+    ending = F.lower(F.element_at(F.split(F.element_at(F.split("path", "/"), -1), r"\."), -1))
+    listed = listed.withColumn("kind", F.when(part & (ending == "json"), "jsonl").otherwise(ending)).where(F.col("kind").isin("jsonl", "json", "parquet"))
+    listed = written(listed.withColumn("file", (F.row_number().over(Window.orderBy("path")) - 1).cast("long")), "listed")  # names only
+    paths: dict[str, list[str]] = {}
+    for r in listed.select("kind", "path").collect():  # file names
+        paths.setdefault(r["kind"], []).append(r["path"])
     parts = []
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path").where(F.col("path").rlike("cvefixes[^/]*(?:/part-[^/]*)?$"))
-    for file, path in enumerate(sorted(r["path"] for r in listed.collect())):  # file names
-        kind = path.rsplit(".", 1)[-1].lower()
-        if kind == "json" and path.rsplit("/", 1)[-1].startswith("part-"):
-            kind = "jsonl"
-        if kind == "jsonl":
-            lines = spark.read.text(path).withColumn("row", F.monotonically_increasing_id()).where(text.strip(F.col("value")) != "")
-            lines = lines.select("row", F.try_parse_json("value").alias("value"))
-            bad = lines.where("value is null").agg(F.min("row").alias("bad")).first()["bad"]
-            if bad is not None:
-                log.warning("failed to read %s at row %s - skipping the rest", path, bad)
-                lines = lines.where(F.col("row") < bad)
-        elif kind == "json":
-            whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("value"))
-            items = F.coalesce(F.try_variant_get("value", "$", "array<variant>"), F.array("value"))
-            lines = whole.where("value is not null").select(F.posexplode(items).alias("row", "value"))
-        elif kind == "parquet":
-            lines = spark.read.parquet(path).select(F.monotonically_increasing_id().alias("row"), F.try_parse_json(F.to_json(F.struct("*"))).alias("value"))
-        else:
-            continue
-        parts.append(lines.select(F.lit(file).cast("long").alias("file"), F.col("row").cast("long").alias("row"), "value"))
+    if "jsonl" in paths:
+        lines = _placed(spark.read.text(paths["jsonl"]).where(text.strip(F.col("value")) != ""), F.try_parse_json("value").alias("value"))
+        parts.append(_numbered_lines(lines))
+    if "json" in paths:
+        whole = spark.read.text(paths["json"], wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("value"))
+        items = F.coalesce(F.try_variant_get("value", "$", "array<variant>"), F.array("value"))
+        parts.append(whole.where("value is not null").select("path", F.posexplode(items).alias("row", "value")).withColumn("row", F.col("row").cast("long")))
+    if "parquet" in paths:
+        table = spark.read.option("mergeSchema", "true").parquet(*paths["parquet"])
+        parts.append(_numbered_lines(_placed(table, F.try_parse_json(F.to_json(F.struct(*(F.col(f"`{x}`") for x in table.columns)))).alias("value"))))
     if not parts:
         return spark.createDataFrame([], "file long, row long, doc string").select("file", "row", F.try_parse_json("doc").alias("value"))
-    return reduce(DataFrame.unionByName, parts)
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.join(listed.select("url", "file"), F.col("path") == F.col("url")).select("file", "row", "value")
 
 
 def cve_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,7 +179,7 @@ def cve_pairs(spark: SparkSession, folder: str) -> DataFrame:
     value = F.col("value")
     language = F.lower(_field(value, LANGUAGE))
     rows = cve_rows(spark, folder).where(language.isNull() | (language.contains("java") & ~language.contains("javascript")))
-    rows = rows.select(_order(2, F.col("file"), F.col("row") % F.lit(1 << _FILE_BITS)), text.cwe_mentioned(_field(value, CATEGORY)).alias("cwe"), _field(value, BEFORE).alias("b"), _field(value, AFTER).alias("a"), _field(value, IDENTITY).alias("ident"))
+    rows = rows.select(_order(2, F.col("file"), F.col("row")), text.cwe_mentioned(_field(value, CATEGORY)).alias("cwe"), _field(value, BEFORE).alias("b"), _field(value, AFTER).alias("a"), _field(value, IDENTITY).alias("ident"))
     rows = rows.where(F.col("cwe").isNotNull() & F.col("b").isNotNull() & F.col("a").isNotNull()).where(text.strip(F.col("b")) != text.strip(F.col("a")))
     rows = numbered(rows, "ord")
     ident = F.coalesce("ident", (F.col("seq") - 1).cast("string"))

@@ -136,6 +136,19 @@ def test_negatives_and_replay(spark):
     assert mixed.where("kind = 'replay'").count() == int(49 * 0.2)
 
 
+@pytest.mark.parametrize("ids", [["r"] * 10, ["a", "b"] * 5, [None] * 6 + ["c"] * 4])
+def test_replay_cap_holds_for_repeated_ids(spark, ids):
+    kind = "system string, input string, output string, cwe string, vulnerable_code string, source_id string, kind string"
+    task = spark.createDataFrame([("s", "i", "o", "CWE-89", "", f"t{i}", "fix", "train") for i in range(20)], kind + ", split string")
+    for inputs in ([f"i{k}" for k in range(10)], ["same"] * 10):
+        rows = [("s", i, "o", "general", "", x, "replay") for x, i in zip(ids, inputs, strict=True)]
+        pool = spark.createDataFrame(rows, kind)
+        one, two = (sorted(map(str, splitting.with_replay(task, p, 0.15).where("kind = 'replay'").collect())) for p in (pool, pool.repartition(3)))
+        assert len(one) == 3 and one == two
+        assert splitting.with_replay(task, pool, 0.9).where("kind = 'replay'").count() == 10
+        assert splitting.with_replay(task, pool, 0).where("kind = 'replay'").count() == 0
+
+
 def test_scores(spark):
     rows = [("```java\nclass A {}\n```", "CWE-89", True, True), ("class A {}", "CWE-89", True, None), ("class A {}", "CWE-89", False, None), ("prose", "CWE-78", None, None), ("class A {}", "CWE-78", None, None), ("class A {}", "CWE-22", True, False)]
     got = score.scored(spark.createDataFrame(rows, "response string, cwe string, compiles boolean, vuln_fixed boolean"))
@@ -161,16 +174,40 @@ def test_tools(spark, tmp_path):
     fake.chmod(0o755)
     (tmp_path / "cwe_89.yml").write_text("rules: []")
     config = c.HarnessConfig(javac_bin="no-such-javac", semgrep_bin=str(fake))
-    assert verify.compiles("class A {}", config) == (None, "javac not found")
-    assert verify.clean("class A { /* VULN */ }", "CWE-89", config, str(tmp_path)) == (False, "1 finding(s): r")
-    assert verify.clean("x", "CWE-89", c.HarnessConfig(semgrep_bin="no-such"), None) == (None, "semgrep not found")
-    with pytest.raises(FileNotFoundError):
-        verify.clean("x", "CWE-22", config, str(tmp_path))
+    own = verify.rule_texts(str(tmp_path))
+    assert verify.compiles("class A {}", config)[0] is None and "javac" in verify.compiles("class A {}", config)[1]
+    assert verify.clean("class A { /* VULN */ }", "CWE-89", config, own) == (False, "r") and verify.clean("class A {}", "CWE-89", config, own) == (True, "")
+    missing = verify.clean("x", "CWE-89", c.HarnessConfig(semgrep_bin="no-such-semgrep"), own)
+    assert missing[0] is None and "semgrep" in missing[1]
+    assert verify.clean("x", "CWE-22", config, own)[0] is None  # no rules, no verdict
     rows = frame(spark, [("class A { /* VULN */ }", "class A {}", "CWE-89"), ("class B {}", "class B { }", "CWE-89"), ("class C { /* VULN */ }", "class C { /* VULN */ int x; }", "CWE-89")])
     got = verify.verified(rows, c.PrepConfig(semgrep_filter=True, workers=2), config, str(tmp_path))
     assert [x.drop_reason for x in sorted(got.collect(), key=lambda x: x.ord)] == [None, "vuln_not_flagged", "fixed_still_flagged"]
 
 
+def test_a_scanner_without_an_answer_is_left_out(spark, tmp_path, caplog):
+    slow, mute = tmp_path / "slow", tmp_path / "mute"
+    slow.write_text("#!/bin/sh\nexec sleep 30\n")
+    mute.write_text("#!/bin/sh\necho nothing to read\n")
+    rows = frame(spark, [("class A {}", "class A { int x; }", "CWE-89")])
+    for program in (slow, mute):
+        program.chmod(0o755)
+        config = c.HarnessConfig(javac_bin="no-such-javac", semgrep_bin=str(program), semgrep_timeout_s=1)
+        assert verify.probed(config) == (False, False) and "left out" in caplog.text
+        assert [x.drop_reason for x in verify.verified(rows, c.PrepConfig(semgrep_filter=True), config).collect()] == [None]
+        record = spark.createDataFrame([("s", "i", "```java\nclass A {}\n```", "CWE-89", "a")], "system string, input string, output string, cwe string, source_id string")
+        assert generate.evaluated(record, generate.client("mock:gold"), config).first().vuln_fixed is None
+        caplog.clear()
+
+
+def test_rules_are_shipped_for_every_category():
+    texts = verify.rule_texts()
+    assert set(texts) == set(c.TARGET_CWES)
+    for cwe, text in texts.items():
+        rules = text.split("\n  - id: ")[1:]
+        assert rules and all("languages: [java]" in r and re.search("severity: (ERROR|WARNING)", r) and "message: " in r and f"metadata: {{cwe: {cwe}}}" in r and re.search(r"\n    patterns?:|\n    pattern-either:", r) for r in rules)
+
+
 @pytest.mark.skipif(not verify.probed(c.HarnessConfig())[0], reason="no compiler")
 def test_compiler():
     config = c.HarnessConfig()

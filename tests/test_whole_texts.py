@@ -15,7 +15,7 @@ def held(spark, folder, name, rows):
     return got
 
 
-@pytest.mark.parametrize("name", ["java_stripped_whole", "sink_synthesis_whole", "method_extraction_whole"])
+@pytest.mark.parametrize("name", ["java_stripped", "sink_synthesis", "method_extraction"])
 def test_java_queries_read_every_line(spark, tmp_path, name):
     texts = ["one line", "one line\nand two", "one line\nand three", "\n\nlate", "a { b\n}é\n" * 4000, "", None]
     one = held(spark, tmp_path, name, [(1, t, "en", "x") for t in texts])
