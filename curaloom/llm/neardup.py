@@ -5,22 +5,27 @@ combines one half-key of either collection, so SIDE * SIDE tables need only 2 *
 A pair of similarity s misses all tables with probability of about 2 * (1 - s**HALF)**SIDE: at the
 threshold of 0.75 one in 10,000, at 0.85 one in two million.
 
-Documents with equal shingle sets are one class. Within a table's bucket the classes, in order of id,
-are paired with the first and with the one before; no bucket emits all its pairs. One partner of each
-class is verified first; pairs that those links already connect need no check. Buckets of up to three
-classes are thereby complete. For larger ones that still hold several components, every component of a
-bucket sends one random member a round, paired as before, until a round links nothing more; these rounds
-use the SIDE tables that combine equally numbered half-keys. The classes of buckets, of any table, that
-hold several components even then are joined exactly on their rarest shingles, and what is close enough
-is verified: no link between classes that meet in a bucket depends on the rounds.
+Documents with equal shingle sets are one class. Buckets of up to three classes give all their pairs, from
+partial aggregates of their ids. Larger ones are crowded: their classes are dealt to sub-buckets by a hash,
+where each is paired with the first and with the one before, and so are the first ones of the sub-buckets, so
+neither a task nor a set meets more than about the square root of a bucket. One partner of each class is
+verified first; pairs that those links already connect need no check. While crowded buckets hold several
+components, every component of a bucket sends one random member a round, paired in the same way, until a
+round links nothing more; these rounds use the SIDE tables that combine equally numbered half-keys. The
+classes of buckets, of any table, that hold several components even then are joined exactly on their rarest
+shingles, and what is close enough is verified: no link between classes that meet in a bucket depends on the
+rounds. The sets of all classes that meet others are written once; every check reads those it needs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from curaloom.llm import runtime, words
 from curaloom.operators.components import components
@@ -77,85 +82,99 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sketches, "doc_id long, n_shingles long, sig binary, left array<long>, right array<long>")
 
 
-def _verify(batches):
-    """Keeps (a, b) whose sets meet 100 * intersection >= PERCENT * union."""
-    memo: tuple[bytes | None, np.ndarray | None] = (None, None)
-    for batch in batches:
-        a, b = [], []
-        for x, y, s, t in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if memo[0] != s:
-                memo = (s, words.shingle_sets([s], WIDTH)[0])
-            other = words.shingle_sets([t], WIDTH)[0]
-            both = np.intersect1d(memo[1], other, assume_unique=True).size
-            if 100 * both >= PERCENT * (memo[1].size + other.size - both):
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _few(ids: DataFrame) -> DataFrame:
+    """ids, broadcast where their number allows it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the documents that the pairs name."""
-    ids = runtime.written(pairs.select(F.explode_outer(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).select("id"), "ids", 2 * pairs.count())
-    return _picked(docs, ids)
+def _checked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that are near-duplicates by their full sets, as a written table."""
 
+    def side(end: str, name: str) -> DataFrame:
+        ids = pairs.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("k")).select("id")
+        ids = runtime.written(ids, "ids", pairs.count())
+        return sets.join(_few(ids), "id", "left_semi").select(F.col("id").alias(end), F.col("shingles").alias(name))
 
-def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the documents of these ids, as a written table."""
-    few = ids.count() <= BROADCAST_IDS
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").cast("binary").alias("text"))
-    picked = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    return runtime.written(picked.where("text is not null"), "texts")
+    rows = pairs.select("a", "b").join(side("a", "s"), "a").join(side("b", "t"), "b")
+    rows = rows.select("a", "b", (F.size("s") + F.size("t")).alias("sizes"), F.size(F.array_intersect("s", "t")).alias("both"))
+    return runtime.written(rows.where(f"100 * both >= {PERCENT} * (sizes - both)").select("a", "b"), "links")
 
 
-def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that are near-duplicates by their full sets, as a written table."""
-    texts = _texts(docs, pairs)
-    first = texts.select(F.col("id").alias("a"), F.col("text").alias("s"))
-    second = texts.select(F.col("id").alias("b"), F.col("text").alias("t"))
-    rows = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "s", "t")
-    return runtime.written(rows.mapInArrow(_verify, "a long, b long"), "links")
+def _tables(classes: DataFrame) -> DataFrame:
+    """(key, id, diagonal) for every class and table; diagonal where i = j."""
+    sides = classes.select("id", "right", F.posexplode_outer("left").alias("i", "l"))
+    tables = sides.select("id", "i", "l", F.posexplode_outer("right").alias("j", "r"))
+    return tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", (F.col("i") == F.col("j")).alias("diagonal"))
 
 
-def _tables(classes: DataFrame) -> DataFrame:
-    """(key, id, n, diagonal) for every class and table; diagonal where i = j."""
-    sides = classes.select("id", "n", "right", F.posexplode_outer("left").alias("i", "l"))
-    tables = sides.select("id", "n", "i", "l", F.posexplode_outer("right").alias("j", "r"))
-    return tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", "n", (F.col("i") == F.col("j")).alias("diagonal"))
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(key, size, low, high, every) of the buckets of more than one class, as a written table; every is the exclusive or of their ids."""
+    tables = _tables(classes).groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("low"), F.max("id").alias("high"), F.bit_xor("id").alias("every"))
+    return runtime.written(tables.where("size > 1"), "buckets")
+
+
+def _small(buckets: DataFrame) -> DataFrame:
+    """All pairs (a, b), a < b, of the buckets of up to three classes."""
+    middle = F.col("every").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
+    ends = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    two = ends(F.col("low"), F.col("high"))
+    listed = F.when(F.col("size") == 2, F.array(two)).otherwise(F.array(two, ends(F.col("low"), middle), ends(middle, F.col("high"))))
+    return buckets.where("size <= 3").select(F.explode(listed).alias("x")).select("x.a", "x.b")
+
+
+def _crowded(classes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(key, id, diagonal) of the classes in buckets of more than three, as a written table."""
+    keys = buckets.where("size > 3").select("key")
+    return runtime.written(_tables(classes).join(_few(keys), "key", "left_semi"), "crowded")
 
 
-def _ends(buckets: DataFrame, order: list) -> DataFrame:
-    """Every row with the first of its bucket, c, and the one before it, p, where there is one."""
-    w, ends = Window.partitionBy("key").orderBy(*order), F.struct("id", "n")
-    return buckets.select("*", F.first(ends).over(w).alias("c"), F.lag(ends, 1).over(w).alias("p"))
+def _ends(rows: DataFrame, within: list[str], order: str) -> tuple[DataFrame, DataFrame]:
+    """Of rows (key, id, ...): pairs of each id with the first of its group and with the one before; and the first rows."""
+    w = Window.partitionBy(*within).orderBy(order, "id")
+    seen = rows.withColumn("c", F.first("id").over(w)).withColumn("p", F.lag("id", 1).over(w))
+    pairs = seen.where("p is not null").select("id", F.explode(F.array_distinct(F.array("c", "p"))).alias("o"))
+    return pairs, seen.where("p is null").select(*rows.columns)
 
 
-def _paired(seen: DataFrame) -> DataFrame:
-    """The rows of _ends as pairs (a, b), a < b, each once. Pairs whose sizes already rule them out go."""
-    pairs = seen.where("p is not null").select("id", "n", F.explode_outer(F.array_distinct(F.array("c", "p"))).alias("o")).where("o.id <> id")
-    near = F.least("n", "o.n") * 100 >= F.greatest("n", "o.n") * PERCENT
-    pairs = pairs.where(near).select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b"))
+def _paired(rows: DataFrame, salts: int, turn: int = 0) -> DataFrame:
+    """Pairs (a, b), a < b, each once, that connect all ids of every bucket of rows (key, id), in two levels of groups.
+
+    With turn 0 the order is that of the ids, so that tables with the same members give the same pairs; else a random one.
+    """
+    order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
+    dealt = rows.select("key", "id", order.alias("order"), F.pmod(F.xxhash64("id", F.lit(-1 - turn)), F.lit(salts)).alias("salt"))
+    inner, heads = _ends(dealt, ["key", "salt"], "order")
+    outer, _ = _ends(heads.drop("salt"), ["key"], "order")
+    pairs = inner.unionByName(outer)
+    return pairs.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b"))
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tables")).select("a", "b")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends aren't connected yet."""
+    """The pairs whose ends aren't connected yet, with the roots of their ends, ra and rb."""
     left = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     right = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    rows = pairs.join(left, "a", "left").join(right, "b", "left")
+    return rows.select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
 
 
-def _shared(tables: DataFrame) -> DataFrame:
-    """The rows of _ends of the buckets of more than one, with their size, as a written table."""
-    every = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return runtime.written(_ends(tables, ["id"]).withColumn("size", F.count(F.lit(1)).over(every)).where("size > 1"), "shared")
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after more links; only the components that these connect are worked on."""
+    if roots is None:
+        return components(links)
+    upper = components(_apart(links, roots).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    moved = roots.join(upper.select(F.col("node").alias("root"), F.col("root").alias("upper")), "root", "left").select("node", F.coalesce("upper", "root").alias("root"))
+    return runtime.written(moved.unionByName(upper.select("node", "root")), "roots")
 
 
 def _delegates(crowded: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """One random member (key, id, n) of every component in every crowded bucket."""
+    """One random member (key, id) of every component in every crowded bucket."""
     rows = crowded.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-    draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n")
-    drawn = rows.groupBy("key", F.coalesce("root", "id").alias("root")).agg(F.min(draw).alias("d"))
-    return drawn.select("key", "d.id", "d.n")
+    drawn = rows.groupBy("key", F.coalesce("root", "id").alias("root")).agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id")).alias("d"))
+    return drawn.select("key", "d.id")
 
 
 def _unresolved(crowded: DataFrame, roots: DataFrame) -> DataFrame:
@@ -169,115 +188,165 @@ def _unresolved(crowded: DataFrame, roots: DataFrame) -> DataFrame:
 def _sets(batches):
     for batch in batches:
         sets = words.shingle_sets(batch.column(1).to_pylist(), WIDTH)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([_signature(s) for s in sets], pa.binary()),
-                pa.array([s.size for s in sets], pa.int64()),
-                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-            ],
-            names=["id", "sig", "n", "shingles"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_signature(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "sig", "shingles"])
+
+
+def _sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, n, shingles) of the classes of these ids, as a written table; their texts are read once."""
+    names = runtime.written(classes.join(_few(ids), "id", "left_semi").select("id", "doc_id", "sig", "n"), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).where("text is not null")
+    read = texts.join(_few(names.select("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, sig binary, shingles array<long>")
+    found = read.join(names, ["doc_id", "sig"]).select("id", "n", "shingles")
+    again = rows.groupBy("doc_id", "sig").agg(F.count(F.lit(1)).alias("k")).where("k > 1").join(names, ["doc_id", "sig"], "left_semi")
+    return runtime.written(found if again.isEmpty() else found.dropDuplicates(["id"]), "sets")
 
 
 def _reached(rows: DataFrame, others: DataFrame) -> DataFrame:
     """The rows whose size n some row of others of their shingle, but of another component, reaches."""
     best = others.groupBy("gram", "root").agg(F.max("reach").alias("reach"))
-    k = F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("reach"), "root"))
-    two = best.withColumn("k", k).where("k <= 2").groupBy("gram").agg(
-        F.max(F.expr("if(k = 1, root, null)")).alias("own"), F.max(F.expr("if(k = 1, reach, null)")).alias("most"), F.max(F.expr("if(k = 2, reach, null)")).alias("next")
-    )
+    top = best.groupBy("gram").agg(F.max(F.struct("reach", "root")).alias("top")).select("gram", F.col("top.reach").alias("most"), F.col("top.root").alias("own"))
+    rest = best.join(top, "gram").where("root <> own").groupBy("gram").agg(F.max("reach").alias("next"))
+    two = top.join(rest, "gram", "left")
     return rows.join(two, "gram").where("n <= if(root = own, next, most)").select(*rows.columns)
 
 
-def _across(docs: DataFrame, unresolved: DataFrame) -> DataFrame:
+def _across(sets: DataFrame, unresolved: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of different components of (id, root): all that can be near-duplicates, and few others.
 
     The shingles of a set stand in order of rarity. If the first that two sets share stands at a rank, no more than
     n - rank + 1 are shared, which is enough for partners of up to a size, its reach, only. The larger set thus has the
     shingle where it reaches the smaller one, and the smaller where it reaches the larger, so at least its own size.
     """
-    sets = _picked(docs, unresolved.select("id")).mapInArrow(_sets, "id long, sig binary, n long, shingles array<long>")
-    grams = runtime.written(sets, "sets").select("id", "sig", "n", F.explode_outer("shingles").alias("gram"))
+    grams = sets.join(_few(unresolved.select("id")), "id", "left_semi").select("id", "n", F.explode_outer("shingles").alias("gram"))
     common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    rank = F.row_number().over(Window.partitionBy("sig", "id").orderBy("df", "gram"))
-    ranked = grams.join(common, "gram", "left").select("id", "sig", "n", "gram", F.coalesce("df", F.lit(1)).alias("df")).withColumn("rank", rank)
+    mine = Window.partitionBy("id")
+    shared = grams.join(common, "gram").withColumn("later", F.row_number().over(mine.orderBy("df", "gram"))).withColumn("m", F.count(F.lit(1)).over(mine))
     reach = F.expr(f"(n - rank + 1) * {100 + PERCENT} div {PERCENT} - n")
-    prefix = ranked.where("df > 1").withColumn("reach", reach).where(f"reach * 100 >= n * {PERCENT}").join(unresolved, "id")
+    prefix = shared.withColumn("rank", F.expr("n - m + later")).withColumn("reach", reach).where(f"reach * 100 >= n * {PERCENT}").join(unresolved, "id")
     prefix = runtime.written(prefix.select("id", "n", "gram", "reach", "root"), "prefixes")
     short = prefix.where("reach >= n")
     left, right = _reached(short, prefix).alias("x"), _reached(prefix, short).alias("y")
     close = f"x.n * 100 >= y.n * {PERCENT} and y.n <= x.reach and x.n <= y.reach and (x.n < y.n or x.n = y.n and x.id < y.id)"
     pairs = left.join(right, F.expr(f"x.gram = y.gram and x.root <> y.root and {close}"))
-    return pairs.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.count(F.lit(1)).alias("shared")).select("a", "b")
+    return _distinct(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """(id, doc_id, sig, n, left, right) of the distinct sets, as a written table.
+
+    id is the smallest doc_id with that set. Where sets share their smallest doc_id, as rows of one id with different
+    texts do, all but the first of them get an id of their own above all doc_ids, so that no link runs through the doc_id.
+    """
+    found = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")
+    )
+    found = runtime.written(found, "classes")
+    clash = found.groupBy("doc_id").agg(F.min("sig").alias("least"), F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id", "least")
+    others = found.select("doc_id", "sig").join(clash, "doc_id").where("sig <> least").select("sig")
+    others = runtime.written(others.withColumn("line", F.monotonically_increasing_id()), "clashing")
+    if others.isEmpty():
+        return found.withColumn("id", F.col("doc_id"))
+    top = rows.agg(F.max("doc_id").alias("top")).first()["top"]
+    named = found.join(others, "sig", "left").withColumn("id", F.coalesce(F.lit(top) + 1 + F.col("line"), "doc_id")).drop("line")
+    return runtime.written(named, "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text, and any other columns).
 
     Null text counts as empty; an empty set links with nothing and is its own component. Rows that
-    repeat an id and its text are linked like copies. A row without an id gets no component and is kept.
+    repeat an id and its text are linked like copies; rows that repeat an id with another text are not linked
+    by the id, and each counts for itself. A row without an id gets no component and is kept.
     """
-    spark = docs.sparkSession
+    return _labelled(docs).drop("sig", "root")
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """near_duplicates with the signature of each row's set and the root of its class, which tells apart components of the same smallest doc_id."""
     rows = runtime.written(sketches(docs), "sketches")
-    classes = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.count(F.lit(1)).alias("copies")
-    )
-    classes = runtime.written(classes, "classes")
-    shared = _shared(_tables(classes))
-    pairs = runtime.written(_paired(shared), "pairs")
-    crowded = shared.where("size > 3")
+    classes = _classes(rows)
+    buckets = _buckets(classes)
+    most = buckets.agg(F.max("size").alias("most")).first()["most"]
+    if most is None:
+        return _with_components(rows, classes, None)
+    salts = math.ceil(math.sqrt(most))
+    crowded = _crowded(classes, buckets)
+    pairs = runtime.written(_distinct(_small(buckets).unionByName(_paired(crowded, salts))), "pairs")
+    sets = _sets_of(docs, rows, classes, runtime.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"))
 
     # one partner for each class first; most of what remains is then connected already
     one = runtime.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one", pairs.count())
-    links = _checked(docs, one)
-    roots = components(links)
-    rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots), "rest", pairs.count())
+    roots = _joined(None, _checked(sets, one))
+    rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots).select("a", "b"), "rest", pairs.count())
     turn = 0
     while True:
         if not rest.isEmpty():
-            more = _checked(docs, rest)
+            more = _checked(sets, rest)
             if turn and more.isEmpty():
                 break
-            links = links.unionByName(more)
-            roots = components(links)
+            roots = _joined(roots, more)
         elif turn:
             break
         turn += 1
-        again = _paired(_ends(_delegates(crowded.where("diagonal"), roots, turn), [F.xxhash64("id", F.lit(turn))]))
-        fresh = _apart(again.join(pairs, ["a", "b"], "left_anti"), roots)
-        rest = runtime.written(fresh, "rest")
+        again = _distinct(_paired(_delegates(crowded.where("diagonal"), roots, turn), salts, turn))
+        rest = runtime.written(again.join(pairs, ["a", "b"], "left_anti"), "rest")
         pairs = pairs.unionByName(rest)
     unresolved = _unresolved(crowded, roots)
     if not unresolved.isEmpty():
-        last = runtime.written(_across(docs, unresolved).join(pairs, ["a", "b"], "left_anti"), "last")
-        more = _checked(docs, last)
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
-    return _labelled(spark, rows, classes, roots)
-
-
-def _labelled(spark: SparkSession, rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    named = classes.select("sig", "id", "copies").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-    named = named.select("sig", F.coalesce("root", "id").alias("component")).where("component is not null")
+        last = runtime.written(_across(sets, unresolved).join(pairs, ["a", "b"], "left_anti"), "last")
+        roots = _joined(roots, _checked(sets, last))
+    return _with_components(rows, classes, roots)
+
+
+def _with_components(rows: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """rows with component_id, the smallest doc_id of the component, and kept."""
+    named = classes.select("sig", "id", "doc_id")
+    if roots is None:
+        named = named.select("sig", F.col("doc_id").alias("component"), F.col("id").alias("root"))
+    else:
+        named = named.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("sig", F.coalesce("root", "id").alias("root"), "id", "doc_id")
+        # roots are smallest doc_ids, but for classes with an id of their own
+        own = named.where("id <> doc_id").groupBy("root").agg(F.min("doc_id").alias("lower"))
+        named = named.join(own, "root", "left").select("sig", F.when(F.col("lower") < F.col("root"), F.col("lower")).otherwise(F.col("root")).alias("component"), "root")
     out = rows.select("doc_id", "n_shingles", "sig").join(named, "sig", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "sig", "root")
 
 
 def _chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """docs semi- or anti-joined with ids, broadcast where few."""
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", how).select(*docs.columns)
+    return docs.join(_few(ids), "doc_id", how).select(*docs.columns)
+
+
+def _signed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the signature of each row's set under name, null for an empty one."""
+    text = runtime.free_name(docs, "utf8", name)
+
+    def run(batches):
+        for batch in batches:
+            sets = words.shingle_sets([t or b"" for t in batch.column(text).to_pylist()], WIDTH)
+            kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != text]
+            yield pa.RecordBatch.from_arrays([*(c for _, c in kept), pa.array([_signature(s) if s.size else None for s in sets], pa.binary())], names=[*(n for n, _ in kept), name])
+
+    rows = docs.withColumn(text, F.col("text").cast("string").cast("binary"))
+    return rows.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay: of each component the document of the smallest id, once; rows without an id stay."""
-    rows = runtime.written(near_duplicates(docs).select("doc_id", "kept"), "kept")
+    """The rows of docs that stay: of each component the document of the smallest id, once; rows without an id stay.
+
+    Rows that repeat an id are decided on by their sets of shingles; of those in one component one stays.
+    """
+    rows = runtime.written(_labelled(docs).select("doc_id", "sig", "root", "kept"), "kept")
     per_id = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     per_id = runtime.written(per_id.where("not kept or n > 1"), "decided")
     out = _chosen(docs, per_id.select("doc_id"), "left_anti")
-    twice = per_id.where("kept")
+    twice = per_id.where("n > 1 and kept").select("doc_id")
     if twice.isEmpty():
         return out
-    return out.unionByName(_chosen(docs, twice.select("doc_id"), "left_semi").dropDuplicates(["doc_id"]))
+    name = runtime.free_name(docs, "sig")
+    stay = rows.where("kept").join(_few(twice), "doc_id", "left_semi").groupBy("doc_id", "root").agg(F.min("sig").alias("sig"))
+    stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("sig").alias("stay_sig"))
+    mine = _signed(_chosen(docs, twice, "left_semi"), name).dropDuplicates(["doc_id", name])
+    mine = mine.join(stay, (mine["doc_id"] == stay["stay_id"]) & mine[name].eqNullSafe(stay["stay_sig"]), "left_semi")
+    return out.unionByName(mine.select(*docs.columns))

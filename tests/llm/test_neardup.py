@@ -89,6 +89,62 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert neardup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    word = random.Random(6).getrandbits
+    a, b, c = ([f"w{word(40)}" for _ in range(80)] for _ in range(3))
+    near = lambda w: " ".join([f"w{word(40)}", *w[1:]])
+    rows = [(3, " ".join(a)), (5, near(a)), (5, near(b)), (9, " ".join(b)), (9, " ".join(b)), (7, " ".join(c)), (7, near(c)), (8, near(c)), (5, ""), (5, "")]
+    frame = spark.createDataFrame([(d, t, "k") for d, t in rows], "doc_id long, text string, sig string")
+    got = sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in neardup.near_duplicates(frame).collect())
+    want = brute(rows)
+    assert got == want and (9, 76, 5, False) in want
+    kept = sorted((x.doc_id, x.text, x.sig) for x in neardup.deduplicated(frame).collect())
+    texts = [(3, rows[0][1]), (5, ""), (5, rows[2][1])]
+    assert [k for k in kept if k[0] != 7] == [(d, t, "k") for d, t in sorted(texts)] and [k[1] in (rows[5][1], rows[6][1]) for k in kept if k[0] == 7] == [True]
+    assert len(kept) == 4
+
+
+def test_a_family_larger_than_a_group_and_a_hot_id(spark):
+    """One family of near copies in every bucket, one text that half the rows repeat, some of them under one id."""
+    r = random.Random(3)
+    base = [f"w{r.getrandbits(40)}" for _ in range(90)]
+    rows = []
+    for d in range(500):
+        w = list(base)
+        for _ in range(r.randrange(1, 3)):
+            w[r.randrange(90)] = f"x{r.getrandbits(40)}"
+        rows.append((d, " ".join(w)))
+    rows += [(600 + d % 200, "the same text in very many rows of the table") for d in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in neardup.near_duplicates(frame).collect())
+    assert got == brute(rows)
+    assert sorted(x.doc_id for x in neardup.deduplicated(frame).collect()) == sorted({d for d, _, _, k in got if k})
+
+
+def test_small_buckets_give_all_their_pairs(spark):
+    rows = [(1, 2, [5, -9]), (2, 3, [4, 7, -(2**62)]), (3, 4, [1, 2, 3, 4])]
+    frame = spark.createDataFrame([(k, i) for k, _, ids in rows for i in ids], "key long, id long").groupBy("key").agg(
+        neardup.F.count(neardup.F.lit(1)).alias("size"), neardup.F.min("id").alias("low"), neardup.F.max("id").alias("high"), neardup.F.bit_xor("id").alias("every")
+    )
+    assert {(x.a, x.b) for x in neardup._small(frame).collect()} == {(-9, 5), (-(2**62), 4), (-(2**62), 7), (4, 7)}
+
+
+@pytest.mark.parametrize("salts", [1, 3, 40])
+def test_pairs_of_a_bucket_connect_it(spark, salts):
+    frame = spark.createDataFrame([(k, i * (k + 1)) for k in range(3) for i in range(30 * k + 4)], "key long, id long")
+    for turn in (0, 2):
+        pairs = {(x.a, x.b) for x in neardup._paired(frame, salts, turn).collect()}
+        for k in range(3):
+            ids = {i * (k + 1) for i in range(30 * k + 4)}
+            seen, todo = set(), [0]
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += [b if a == x else a for a, b in pairs if x in (a, b)]
+            assert ids <= seen
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)
