@@ -25,12 +25,17 @@ from pyspark.sql import functions as F
 from curaloom.llm import runtime
 
 LEAST_SHARED = 100
+#: Repeated payloads are broadcast up to so many digests (48 bytes each); beyond, pages are told by narrow joins.
+BROADCAST_ROWS = 1_000_000
+#: Archives are read by tasks of about so many compressed bytes.
+READ_BYTES = 64 << 20
 CHUNK = 1 << 16
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _URN = "urn:x-page:"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
+_HTTP_LENGTH = re.compile(rb"\r\nContent-Length:[ \t]*([0-9]+)[ \t]*\r\n", re.IGNORECASE)
 
 
 class WarcError(ValueError):
@@ -112,8 +117,11 @@ class _Member:
         return self._zip.unused_data
 
 
-def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, payload) of every record of an archive; raises WarcError."""
+def records(stream) -> Iterator[tuple[dict[str, str], bytes, int]]:
+    """(headers with lower-case names, payload, its full length) of every record of an archive; raises WarcError.
+
+    The length is that of the HTTP response; of a revisit its headers alone are stored, and they announce it.
+    """
     rest = b""
     while rest or (rest := stream.read(CHUNK)):
         member = _Member(stream, rest)
@@ -127,20 +135,34 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         rest = member.close()
         if f"sha256:{hashlib.sha256(block).hexdigest()}" != head["warc-block-digest"]:
             raise WarcError("block digest")
-        payload = block.partition(b"\r\n\r\n")[2]
-        if head["warc-type"] == "response" and f"sha256:{hashlib.sha256(payload).hexdigest()}" != head["warc-payload-digest"]:
-            raise WarcError("payload digest")
-        yield head, payload
+        http, _, payload = block.partition(b"\r\n\r\n")
+        announced = _HTTP_LENGTH.search(http + b"\r\n")
+        if announced is None:
+            raise WarcError("no Content-Length in the response")
+        if head["warc-type"] == "response" and (f"sha256:{hashlib.sha256(payload).hexdigest()}" != head["warc-payload-digest"] or len(payload) != int(announced[1])):
+            raise WarcError("payload digest or length")
+        yield head, payload, int(announced[1])
 
 
 def _planned(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, refers_to, revisit: which page each payload is stored with."""
+    """page_id, url, payload, refers_to, revisit: which page each payload is stored with.
+
+    What repeats is found on narrow rows (page_id, digest). Few repeated payloads are broadcast; of many, the pages
+    that repeat one are listed first, and payloads are joined with that list by page and digest, so a payload that
+    very many pages share is never one key of a shuffle of payloads.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.when(F.length("payload") >= LEAST_SHARED, F.unhex(F.sha2("payload", 256))))
-    groups = rows.where("digest is not null").groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").select("digest", "first")
-    groups = runtime.written(groups, "payloads")  # known size: few repeated payloads are broadcast, many are joined by a shuffle
-    joined = rows.join(groups, "digest", "left")
+    shared = rows.where("digest is not null").select("page_id", "digest")
+    groups = shared.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").select("digest", "first")
+    groups = runtime.written(groups, "payloads")
+    if groups.count() <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(groups), "digest", "left")
+    else:
+        listed = shared.join(groups, "digest").groupBy("page_id", "digest").agg(F.min("first").alias("first"))
+        listed = runtime.written(listed, "repeats").select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "first")
+        joined = rows.join(listed, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -176,7 +198,10 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def read_archives(manifest: DataFrame, folder: str | None = None) -> DataFrame:
-    """page_id, url, record_type, payload, digest, refers_to of every record of the manifest's archives, verified."""
+    """page_id, url, record_type, payload, payload_bytes, digest, refers_to of every record of the manifest's archives, verified.
+
+    Tasks read whole archives, about READ_BYTES of them each where there are many.
+    """
     spark = manifest.sparkSession
     root = folder or runtime.shared_folder(spark)
 
@@ -188,8 +213,8 @@ def read_archives(manifest: DataFrame, folder: str | None = None) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 rows, held = [], 0
                 with store.open_input_stream(path) as stream:
-                    for head, payload in records(stream):
-                        rows.append((_page(head["warc-record-id"]), head["warc-target-uri"], head["warc-type"], payload, head["warc-payload-digest"].partition(":")[2], _page(head.get("warc-refers-to"))))
+                    for head, payload, length in records(stream):
+                        rows.append((_page(head["warc-record-id"]), head["warc-target-uri"], head["warc-type"], payload, length, head["warc-payload-digest"].partition(":")[2], _page(head.get("warc-refers-to"))))
                         held += len(payload)
                         if held > 1 << 22:
                             yield _batch(rows)
@@ -197,19 +222,18 @@ def read_archives(manifest: DataFrame, folder: str | None = None) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    files = manifest.count()
-    return manifest.repartition(max(1, min(files, 4096))).select("path").mapInArrow(run, "page_id long, url string, record_type string, payload binary, digest string, refers_to long")
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first()
+    tasks = max(1, min(size["files"], max(spark.sparkContext.defaultParallelism, -(-size["n"] // READ_BYTES))))
+    kinds = "page_id long, url string, record_type string, payload binary, payload_bytes long, digest string, refers_to long"
+    return manifest.repartition(tasks).select("path").mapInArrow(run, kinds)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["page_id", "url", "record_type", "payload", "digest", "refers_to"])
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64()]
+    names = ["page_id", "url", "record_type", "payload", "payload_bytes", "digest", "refers_to"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
 def summary(read: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to; a revisit's length is that of the response it refers to."""
-    rows = runtime.written(read.select("page_id", F.length("payload").cast("long").alias("n"), "digest", "record_type", "refers_to"), "records")
-    stored = rows.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.max("n").alias("full"))
-    again = rows.where("record_type = 'revisit'").join(stored, ["refers_to", "digest"], "left")
-    out = [F.col("digest").alias("payload_digest"), "record_type", "refers_to"]
-    return rows.where("record_type = 'response'").select("page_id", F.col("n").alias("payload_bytes"), *out).unionByName(again.select("page_id", F.col("full").alias("payload_bytes"), *out))
+    """page_id, payload_bytes, payload_digest, record_type, refers_to; a revisit's length is the one that its own headers announce."""
+    return read.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
