@@ -173,8 +173,9 @@ class Decoded:
 def decode(media: bytes) -> Decoded:
     """The samples and the time in seconds at each sample packet's end; cues and length are verified."""
     streams = demultiplexed(media)
-    sound = next(s for s in streams.values() if s.packets[0].data.startswith(b"PCM8\0"))
-    cues = next(s for s in streams.values() if s.packets[0].data.startswith(b"CUES\0"))
+    sound, cues = (next((s for s in streams.values() if s.packets and s.packets[0].data.startswith(head)), None) for head in (b"PCM8\0", b"CUES\0"))
+    if sound is None or cues is None or len(sound.packets[0].data) != 21:
+        raise OggError("no samples or no cues")
     rate, _, total = struct.unpack_from("<IIQ", sound.packets[0].data, 5)
     blocks = [p.data for p in sound.packets[1:]]
     if [zlib.crc32(b).to_bytes(4, "little") for b in blocks] != [p.data for p in cues.packets[1:]]:

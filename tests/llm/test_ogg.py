@@ -51,6 +51,33 @@ def test_damage_is_found():
         ogg.decode(media[: len(media) // 2])
 
 
+def test_media_without_the_expected_streams():
+    for streams in ({1: [ogg.Packet(b"other", 0)]}, {1: [ogg.Packet(b"PCM8\0", 0)], 2: [ogg.Packet(b"CUES\0", 0)]}, {}):
+        with pytest.raises(ogg.OggError):
+            ogg.decode(ogg.multiplexed(streams))
+
+
+@pytest.mark.parametrize("n", [0, 3, 64, 5000, 70_000])
+def test_feature_against_a_loop(n):
+    payload = ogg.padded(random.Random(n).randbytes(n))
+    media = ogg.encode(payload)
+    x = [b - 128 for b in payload]
+    mean = sum(x) / len(x)
+    deviation = (sum((v - mean) ** 2 for v in x) / len(x)) ** 0.5
+    crossings = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:], strict=False))
+    bands = [sum(abs(x[i + k] - x[i]) for i in range(len(x) - k)) / (len(x) - k) for k in (1, 2, 4, 8)]
+    got = ogg.feature(ogg.decode(media)).split(";")
+    assert got[:3] == [f"{len(payload) / 8000:.6f}", str(-(-len(payload) // 4096)), str(media.count(b"OggS"))] and int(got[5]) == crossings
+    want = [mean, deviation, *bands]
+    assert all(abs(float(g) - w) < 1e-3 for g, w in zip([got[3], got[4], *got[6].split(",")], want, strict=True))
+
+
+def test_empty_table_and_long_text(spark):
+    docs = spark.createDataFrame([(1, "long text " * 300_000)], "doc_id long, text string")
+    assert ogg.media_features(ogg.media_column(docs.limit(0))).count() == 0
+    assert ogg.media_features(ogg.media_column(docs)).first().payload_bytes == 3_000_000 + 0 if 3_000_000 % 64 == 0 else 3_000_064 - 3_000_000 % 64
+
+
 def test_query_rows(spark):
     docs = spark.createDataFrame([(1, "é" * 40, 1), (2, None, 2), (3, "", 3), (4, "é" * 40, 4), (None, "x", 5)], "doc_id long, text string, media long")
     rows = {r.doc_id: r for r in ogg.media_features(ogg.media_column(docs)).collect()}
