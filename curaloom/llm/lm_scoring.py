@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from curaloom.llm import runtime, words
 
 CHUNK_BYTES = 4_000_000
-#: Documents whose keys share a slot: few on small inputs for even tasks, more (some 300 MB a slot) on large ones.
-SLOT_DOCS, LARGE_SLOT_DOCS, EVEN_SLOTS = 2000, 20_000, 1024
+#: Bytes of text whose keys share a slot: few on small inputs for even tasks, more (some 300 MB of keys and counts a
+#: slot) on large ones. Text is what counts, not its number of documents, so a slot's memory is bounded.
+SLOT_BYTES, LARGE_SLOT_BYTES, EVEN_SLOTS = 4_000_000, 40_000_000, 1024
 BUCKETS = 24
 #: The mixture weights are learned from ratios in steps of 1/FINE octaves.
 FINE, ROUNDS = 8, 200
@@ -73,7 +74,7 @@ def _chunks(batches):
     def close(deleted: bool):
         nonlocal made
         rows, size = open_[deleted]
-        out = pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 24) + made], pa.int64()), pa.array([deleted]), pa.array([_packed(rows)], pa.binary())], names=["chunk", "deleted", "docs"])
+        out = pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 24) + made], pa.int64()), pa.array([deleted]), pa.array([size[0]], pa.int64()), pa.array([_packed(rows)], pa.binary())], names=["chunk", "deleted", "bytes", "docs"])
         made += 1
         rows.clear()
         size[0] = 0
@@ -313,9 +314,9 @@ def fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
     spark = docs.sparkSession
     runtime.bound_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _role(docs["doc_id"]).cast("int").alias("role"), F.col("text").cast("string").cast("binary").alias("text"))
-    chunks = runtime.written(rows.mapInArrow(_chunks, "chunk long, deleted boolean, docs binary"), "chunks")
-    n = docs.count()
-    slots = max(32, min(EVEN_SLOTS, math.ceil(n / SLOT_DOCS)), math.ceil(n / LARGE_SLOT_DOCS))
+    chunks = runtime.written(rows.mapInArrow(_chunks, "chunk long, deleted boolean, bytes long, docs binary"), "chunks")
+    n = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    slots = max(32, min(EVEN_SLOTS, math.ceil(n / SLOT_BYTES)), math.ceil(n / LARGE_SLOT_BYTES))
     asked = chunks.select("chunk", "docs").mapInArrow(_asks(slots), "chunk long, slot int, " + ", ".join(f"{k} binary" for k in _ASKED))
     answers = runtime.written(asked.groupBy("slot").applyInArrow(_answers, _ANSWER), "answers")
     sums = answers.where("chunk = -1").agg(*(F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)).alias(f"t{i}") for i in range(4))).first()
@@ -327,7 +328,7 @@ def fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
         return part.select("chunk", "docs").join(sent.groupBy("chunk").agg(F.collect_list("a").alias("a")), "chunk")
 
     cells = answered(chunks.where("deleted"), "fitted").mapInArrow(_evidence(model), "cell long, n long")
-    found = cells.groupBy("cell").agg(F.sum("n").alias("n")).collect()  # bounded by the steps of the ratios, whatever the corpus
+    found = cells.groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most BUCKETS * steps**2 cells, steps being FINE a doubling of the corpus: 3 million of 16 bytes at 10**13 words
     if found:
         model.weights = learned(np.array([r["cell"] for r in found]), np.array([r["n"] for r in found], float), model.weights)
     out = answered(chunks, "all").mapInArrow(_scores(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

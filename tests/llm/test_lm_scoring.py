@@ -80,3 +80,16 @@ def test_scores_against_brute_force(spark, n):
     if n:
         held = [x for _, x in got if x.held_out]
         assert sum(x.score for x in held) > sum(x.base_score for x in held)
+
+
+def test_slots_follow_bytes_and_long_texts_score_alike(spark, monkeypatch):
+    """A very long text, more chunks and more slots change nothing."""
+    r = random.Random(2)
+    docs = [(i, " ".join(r.choice("abcdefgh") for _ in range(30))) for i in range(60)] + [(100, "a b c d e f g h " * 20_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    one = sorted((x.doc_id, round(x.score, 6), round(x.base_score, 6)) for x in lm.scores(frame).collect())
+    for name, value in (("SLOT_BYTES", 2000), ("CHUNK_BYTES", 500)):
+        monkeypatch.setattr(lm, name, value)
+    two = sorted((x.doc_id, round(x.score, 6), round(x.base_score, 6)) for x in lm.scores(frame.repartition(3)).collect())
+    assert [x[0] for x in one] == [x[0] for x in two]
+    assert all(abs(a[1] - b[1]) <= 1e-5 * max(1, abs(a[1])) and abs(a[2] - b[2]) <= 1e-5 * max(1, abs(a[2])) for a, b in zip(one, two, strict=True))
