@@ -51,21 +51,38 @@ LAYOUTS = {
 MAPPINGS = {fingerprint(m["paths"]): m for m in LAYOUTS.values()}
 
 
-def canonical(record: str | None) -> list[tuple[str, str]] | None:
-    """(role, text) of each turn, null texts and roles as empty; None for a record of no known layout."""
+def _words(value) -> str:
+    """A field's text: null as empty, what is no string as JSON."""
+    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False, sort_keys=True)
+
+
+def schema(record: str | None) -> tuple[str | None, object]:
+    """(fingerprint, value) of a record; no fingerprint for what isn't JSON."""
     try:
         value = json.loads(record or "")
-    except ValueError:
-        return None
-    mapping = MAPPINGS.get(fingerprint(field_paths(value)))
+        return fingerprint(field_paths(value)), value
+    except (ValueError, RecursionError):
+        return None, None
+
+
+def canonical(record: str | None) -> list[tuple[str, str]] | None:
+    """(role, text) of each turn; None for a record of no known layout.
+
+    Null texts and roles are empty, numbers and truth values their JSON.
+    """
+    return _canonical(*schema(record))
+
+
+def _canonical(print_: str | None, value) -> list[tuple[str, str]] | None:
+    mapping = MAPPINGS.get(print_)
     if mapping is None:
         return None
     if "fields" in mapping:
-        return [(role, value[name] or "") for role, name in mapping["fields"]]
+        return [(role, _words(value[name])) for role, name in mapping["fields"]]
     for step in mapping["list"].split("."):
         value = value[step]
-    roles = mapping["roles"]
-    return [(roles.get(t[mapping["role"]], t[mapping["role"]] or ""), t[mapping["text"]] or "") for t in value]
+    turns = [(_words(t[mapping["role"]]), _words(t[mapping["text"]])) for t in value]
+    return [(mapping["roles"].get(role, role), text) for role, text in turns]
 
 
 _NAMES = {"system": "System", "user": "User", "assistant": "Assistant"}
@@ -117,15 +134,24 @@ def loss_text(formatted: str, mask: list[int]) -> str:
 
 def _rendered(batches):
     for batch in batches:
-        rows = [canonical(r) for r in batch.column(1).to_pylist()]
-        made = [render(t) if t is not None else (None, None) for t in rows]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f for f, _ in made], pa.string()), pa.array([m for _, m in made], pa.list_(pa.int64()))], names=["conv_id", "formatted", "loss_mask"])
+        found = [schema(r) for r in batch.column(1).to_pylist()]
+        made = [render(t) if (t := _canonical(*x)) is not None else (None, None) for x in found]
+        columns = [pa.array([f for f, _ in made], pa.string()), pa.array([m for _, m in made], pa.list_(pa.int64())), pa.array([f for f, _ in found], pa.string())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["conv_id", "formatted", "loss_mask", "fingerprint"])
 
 
 def formatted(records: DataFrame) -> DataFrame:
-    """conv_id, formatted, loss_mask of records (conv_id, record as JSON); both null where no layout fits."""
+    """conv_id, formatted, loss_mask, fingerprint of records (conv_id, record as JSON).
+
+    formatted and loss_mask are null where no layout fits, see `unmapped`; the fingerprint where the record isn't JSON.
+    """
     runtime.bound_batches(records.sparkSession)
-    return records.select("conv_id", "record").mapInArrow(_rendered, "conv_id long, formatted string, loss_mask array<long>")
+    return records.select("conv_id", "record").mapInArrow(_rendered, "conv_id long, formatted string, loss_mask array<long>, fingerprint string")
+
+
+def unmapped(chats: DataFrame) -> DataFrame:
+    """fingerprint, n, example (its smallest conv_id) of the layouts that no mapping knows; a null fingerprint stands for what isn't JSON."""
+    return chats.where("formatted is null").groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("example"))
 
 
 def _digested(batches):
