@@ -1,4 +1,4 @@
-"""Command line: prepare, evaluate, augment."""
+"""Command line: fetch, prepare, evaluate, augment."""
 
 import argparse
 import dataclasses
@@ -38,11 +38,16 @@ def main(args: list[str] | None = None) -> None:
     three.add_argument("--spec", required=True)
     three.add_argument("--per-cwe", type=int, default=50)
     three.add_argument("--seed", type=int, default=42)
+    four = commands.add_parser("fetch")
+    four.add_argument("--url", required=True, help="zip archive of the test suite")
+    four.add_argument("--out-dir", required=True)
     for sub in (one, two, three):
         sub.add_argument("--rules", help="folder of cwe_<n>.yml for the scanner")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("curaloom").getOrCreate()
-    if a.command == "prepare" and a.make_demo_data:
+    if a.command == "fetch":
+        print(f"{records.fetched(spark, a.url, a.out_dir)} files in {a.out_dir}")
+    elif a.command == "prepare" and a.make_demo_data:
         records.write_pairs(demo.pairs(spark).orderBy("ord").coalesce(1), f"{a.raw_dir}/demo_pairs")
     elif a.command == "prepare":
         given = {k: v for k in ("seed", "max_chars", "negatives_frac", "compile_filter", "semgrep_filter") if (v := getattr(a, k)) is not None}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import urllib.request
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from importlib.util import find_spec
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +18,8 @@ from curaloom.functions import text as t
 from curaloom.operators import splitting, verify
 
 MAX_TOKENS, TIMEOUT_S = 1024, 180
+#: Calls of an endpoint that a task has open at once.
+CALLS = 8
 
 # The prompts of the generator.
 GEN_SYSTEM = (
@@ -67,7 +71,7 @@ class Mock:
 
 @dataclass(frozen=True)
 class Endpoint:
-    """A chat-completions endpoint, called in Arrow batches; a failed call gives an empty response."""
+    """A chat-completions endpoint; a task has up to CALLS calls open, and a failed call gives an empty response."""
 
     url: str
     model: str
@@ -90,15 +94,16 @@ class Endpoint:
                 return ""
 
         def run(frames):
-            for frame in frames:
-                yield frame.assign(response=pd.Series([one(s, u) for s, u in zip(frame["system"], frame["input"], strict=True)], index=frame.index, dtype=object))
+            with ThreadPoolExecutor(CALLS) as calls:
+                for frame in frames:
+                    yield frame.assign(response=pd.Series(list(calls.map(one, frame["system"], frame["input"])), index=frame.index, dtype=object))
 
         return records.mapInPandas(run, StructType([*records.schema.fields, StructField("response", StringType())]))
 
 
 @dataclass(frozen=True)
 class Local:
-    """A local model, with an adapter or without; named here, run by an external trainer's stack."""
+    """A local model, with an adapter or without, loaded once a task by the optional package transformers."""
 
     model: str
     adapter: str | None = None
@@ -108,7 +113,23 @@ class Local:
         return f"hf:{self.model}" + (f"+{self.adapter}" if self.adapter else "")
 
     def responses(self, records: DataFrame) -> DataFrame:
-        raise NotImplementedError("local models need an inference stack; serve the model and use an endpoint")
+        """records with the greedy response of the model; an Arrow batch is generated at once."""
+        if find_spec("transformers") is None:
+            raise ModuleNotFoundError(f"{self.name}: install transformers on driver and executors, or serve the model and use openai:<base url>#<model>")
+        model, adapter = self.model, self.adapter
+
+        def run(frames):
+            import transformers
+
+            generator = transformers.pipeline("text-generation", model=model, torch_dtype="auto", device_map="auto")
+            if adapter:
+                generator.model.load_adapter(adapter)
+            for frame in frames:
+                chats = [[{"role": "system", "content": s}, {"role": "user", "content": u}] for s, u in zip(frame["system"], frame["input"], strict=True)]
+                made = generator(chats, max_new_tokens=MAX_TOKENS, do_sample=False, return_full_text=False) if chats else []
+                yield frame.assign(response=pd.Series([m[0]["generated_text"] for m in made], index=frame.index, dtype=object))
+
+        return records.mapInPandas(run, StructType([*records.schema.fields, StructField("response", StringType())]))
 
 
 def client(spec: str):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import os
 from functools import reduce
 
 import pandas as pd
@@ -167,19 +168,48 @@ def cve_rows(spark: SparkSession, folder: str) -> DataFrame:
         parts.append(whole.where("value is not null").select("path", F.posexplode(items).alias("row", "value")).withColumn("row", F.col("row").cast("long")))
     if "parquet" in paths:
         table = spark.read.option("mergeSchema", "true").parquet(*paths["parquet"])
-        parts.append(_numbered_lines(_placed(table, F.try_parse_json(F.to_json(F.struct(*(F.col(f"`{x}`") for x in table.columns)))).alias("value"))))
+        parts.append(_numbered_lines(_placed(table, _as_values(table))))
     if not parts:
         return spark.createDataFrame([], "file long, row long, doc string").select("file", "row", F.try_parse_json("doc").alias("value"))
     rows = reduce(DataFrame.unionByName, parts)
     return rows.join(listed.select("url", "file"), F.col("path") == F.col("url")).select("file", "row", "value")
 
 
-def cve_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Java pairs of CVE collections: in scope, both sides there and different; numbered in input order."""
+def _as_values(rows: DataFrame) -> Column:
+    return F.try_parse_json(F.to_json(F.struct(*(F.col(f"`{x}`") for x in rows.columns)))).alias("value")
+
+
+def hub_rows(spark: SparkSession, source: str | None = None) -> DataFrame | None:
+    """file, row, value of a collection that Spark can load: `format:path`, by default what CVEFIXES_SOURCE names.
+
+    CVEFIXES_HF and CVEFIXES_SPLIT name a dataset of the hub, for the optional data source huggingface. One that can't
+    be loaded is left out with a warning. Its rows come before those of files.
+    """
+    source = source or os.environ.get("CVEFIXES_SOURCE", "").strip()
+    hub = os.environ.get("CVEFIXES_HF", "").strip()
+    if not source and not hub:
+        return None
+    kind, _, path = source.partition(":") if source else ("huggingface", "", hub)
+    try:
+        reader = spark.read.format(kind)
+        rows = (reader if source else reader.option("split", os.environ.get("CVEFIXES_SPLIT", "train"))).load(path)
+        rows.schema  # noqa: B018  fails here if the source isn't there
+    except Exception as e:  # noqa: BLE001  an optional source must not end the run
+        log.warning("%s:%s can't be loaded, left out: %s", kind, path, str(e).split("\n")[0])
+        return None
+    return written(rows.select(F.lit(-1).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"), _as_values(rows).alias("value")), "hub")
+
+
+def cve_pairs(spark: SparkSession, folder: str, source: str | None = None) -> DataFrame:
+    """Java pairs of CVE collections: in scope, both sides there and different; numbered in input order, those of hub_rows first."""
     value = F.col("value")
     language = F.lower(_field(value, LANGUAGE))
-    rows = cve_rows(spark, folder).where(language.isNull() | (language.contains("java") & ~language.contains("javascript")))
-    rows = rows.select(_order(2, F.col("file"), F.col("row")), text.cwe_mentioned(_field(value, CATEGORY)).alias("cwe"), _field(value, BEFORE).alias("b"), _field(value, AFTER).alias("a"), _field(value, IDENTITY).alias("ident"))
+    every, hub = cve_rows(spark, folder), hub_rows(spark, source)
+    if hub is not None:  # its numbers hold the partition in their high bits: fold them to places first
+        hub = numbered(hub, "row").select("file", (F.col("seq") - 1).alias("row"), "value")
+        every = hub.unionByName(every)
+    rows = every.where(language.isNull() | (language.contains("java") & ~language.contains("javascript")))
+    rows = rows.select(_order(2, F.col("file") + 1, F.col("row")), text.cwe_mentioned(_field(value, CATEGORY)).alias("cwe"), _field(value, BEFORE).alias("b"), _field(value, AFTER).alias("a"), _field(value, IDENTITY).alias("ident"))
     rows = rows.where(F.col("cwe").isNotNull() & F.col("b").isNotNull() & F.col("a").isNotNull()).where(text.strip(F.col("b")) != text.strip(F.col("a")))
     rows = numbered(rows, "ord")
     ident = F.coalesce("ident", (F.col("seq") - 1).cast("string"))

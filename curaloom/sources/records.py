@@ -5,6 +5,9 @@ from __future__ import annotations
 import io
 import json
 import re
+import shutil
+import tempfile
+import urllib.request
 import zipfile
 
 import pandas as pd
@@ -79,6 +82,38 @@ def archive_members(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "name string, content binary")
 
 
+def fetched(spark: SparkSession, url: str, folder: str) -> int:
+    """Downloads a zip archive and writes its wanted test cases as files into folder, which all machines share.
+
+    One task streams the archive through a file of its own; returns the number of files, which must not be 0.
+    """
+
+    def run(frames):
+        from pyarrow import fs
+
+        for frame in frames:
+            for address in frame["url"]:
+                store, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+                store.create_dir(base, recursive=True)
+                # Fixed value: some hosts refuse the library's own agent.
+                request = urllib.request.Request(address, headers={"User-Agent": "Mozilla/5.0"})
+                with tempfile.TemporaryFile() as held:
+                    with urllib.request.urlopen(request, timeout=120) as answer:
+                        shutil.copyfileobj(answer, held, 1 << 20)
+                    with zipfile.ZipFile(held) as archive:
+                        names = {i.filename.rsplit("/", 1)[-1]: i for i in archive.infolist() if _WANTED.search(i.filename)}
+                        for name, member in names.items():
+                            with archive.open(member) as content, store.open_output_stream(f"{base}/{name}") as out:
+                                shutil.copyfileobj(content, out, 1 << 20)
+                if names:
+                    yield pd.DataFrame({"name": list(names)})
+
+    n = spark.createDataFrame([(url,)], "url string").coalesce(1).mapInPandas(run, "name string").count()
+    if not n:
+        raise ValueError(f"{url}: no test cases of the target categories in it")
+    return n
+
+
 def write_splits(records: DataFrame, folder: str) -> dict:
     """One folder of JSON lines per split, nulls written, and stats.json beside them; returns the stats."""
     from curaloom.operators.splitting import split_stats
@@ -95,6 +130,17 @@ def write_json(spark: SparkSession, value: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(value, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def run_report(settings: dict, train_loss: float | None = None, history: list | None = None, versions: dict | None = None, samples: DataFrame | None = None) -> dict:
+    """The report of an external trainer's run, for write_json: its settings, loss, last 50 log entries, versions, and the summary of its GPU samples."""
+    from curaloom.operators.score import gpu_summary
+
+    report = dict(settings)
+    used = gpu_summary(samples).first() if samples is not None else None
+    # Names of the report's parts.
+    parts = {"gpu_utilization": used.asDict() if used else None, "train_loss": train_loss, "log_history": (history or [])[-50:] or None, "versions": versions}
+    return report | {k: v for k, v in parts.items() if v is not None}
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """Evaluation rows as JSON lines with explicit nulls."""
     results.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -329,6 +329,85 @@ def test_readers(spark, tmp_path):
     assert {x.name for x in records.archive_members(spark, str(tmp_path / "s.zip")).collect()} == {n for n in java if re.match("CWE(89|78|23|36)_", n)}
 
 
+def test_fetched_archives_and_other_sources(spark, tmp_path, monkeypatch, caplog):
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("suite-main/src/CWE89_A_01.java", SUITE.format(name="CWE89_A_01", sink="run(data);", extra=""))
+        z.writestr("suite-main/src/CWE79_B_01.java", "class B {}")
+    out = str(tmp_path / "raw")
+    assert records.fetched(spark, f"file://{tmp_path}/s.zip", out) == 1
+    assert [x.source_id for x in pairs.java_pairs(spark, out).collect()] == ["CWE89_A_01.java:G2B"]
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as z:
+        z.writestr("x.txt", "")
+    with pytest.raises(Exception, match="no test cases"):
+        records.fetched(spark, f"file://{tmp_path}/none.zip", out)
+    spark.createDataFrame([("a", "b", "89", "C1"), ("x", "y", "78", None)], "func_before string, func_after string, cwe string, cve string").coalesce(1).write.orc(str(tmp_path / "table"))
+    (tmp_path / "raw" / "z_cvefixes.jsonl").write_text(json.dumps({"before": "p", "after": "q", "cwe": "22"}) + "\n")
+    monkeypatch.setenv("CVEFIXES_SOURCE", f"orc:{tmp_path}/table")
+    rows = sorted(pairs.cve_pairs(spark, out).collect(), key=lambda x: x.ord)
+    assert [(x.vulnerable_code, x.cwe, x.source_id) for x in rows] == [("a", "CWE-89", "cvefixes:C1:1"), ("x", "CWE-78", "cvefixes:1:2"), ("p", "CWE-22", "cvefixes:2:3")]
+    monkeypatch.delenv("CVEFIXES_SOURCE")
+    monkeypatch.setenv("CVEFIXES_HF", "some/dataset")
+    assert pairs.cve_pairs(spark, out).count() == 1 and "left out" in caplog.text
+
+
+def test_many_part_files_keep_their_order(spark, tmp_path):
+    folder = tmp_path / "x_cvefixes.jsonl"
+    rows = spark.range(500).selectExpr("concat('b', id) as before", "concat('a', id) as after", "'89' as cwe", "id as cve").repartitionByRange(12, "cve")
+    rows.write.json(str(folder))
+    got = sorted(pairs.cve_pairs(spark, str(tmp_path)).collect(), key=lambda x: x.ord)
+    assert [x.source_id for x in got] == [f"cvefixes:{i}:{i + 1}" for i in range(500)]
+
+
+def test_local_model(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("s", "i one"), ("s", "i two")], "system string, input string")
+    client = generate.client("hf:some/model#adapter=/a")
+    monkeypatch.setattr(generate, "find_spec", lambda name: None)
+    with pytest.raises(ModuleNotFoundError, match="openai"):
+        client.responses(rows)
+    (tmp_path / "transformers.py").write_text(
+        "class _G:\n    def __init__(self, model): self.model, self.name, self.adapter = self, model, None\n    def load_adapter(self, a): self.adapter = a\n"
+        "    def __call__(self, chats, max_new_tokens, do_sample, return_full_text):\n        assert not do_sample and not return_full_text\n"
+        "        return [[{'generated_text': self.name + self.adapter + c[0]['content'] + c[1]['content']}] for c in chats]\n"
+        "def pipeline(task, model, **options): return _G(model)\n"
+    )
+    spark.sparkContext.addPyFile(str(tmp_path / "transformers.py"))
+    monkeypatch.setattr(generate, "find_spec", lambda name: True)
+    assert [x.response for x in client.responses(rows).collect()] == ["some/model/asi one", "some/model/asi two"]
+
+
+def test_endpoint(spark):
+    """Against a server of our own: answers keep their rows, failed calls are empty."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            user = asked["messages"][1]["content"]
+            self.send_response(500 if user == "i7" else 200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": f"{asked['model']}:{user}"}}]}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    rows = spark.createDataFrame([("s", f"i{k}") for k in range(30)], "system string, input string")
+    got = generate.client(f"openai:http://127.0.0.1:{server.server_port}/v1#m").responses(rows).collect()
+    server.shutdown()
+    assert {x.input: x.response for x in got} == {f"i{k}": "" if k == 7 else f"m:i{k}" for k in range(30)}
+
+
+def test_run_report(spark, tmp_path):
+    samples = spark.createDataFrame([(0.0, 100.0, 70.0), (1.0, 140.0, 90.0)], "t double, vram_used_gb double, gpu_busy_pct double")
+    report = records.run_report({"epochs": 3}, 0.5, list(range(60)), {"t": "1"}, samples)
+    assert report["gpu_utilization"]["vram_used_gb_max"] == 140 and len(report["log_history"]) == 50 and report["epochs"] == 3 and report["train_loss"] == 0.5
+    records.write_json(spark, report, str(tmp_path / "run_metadata.json"))
+    assert json.loads(spark.read.text(str(tmp_path / "run_metadata.json")).first().value) == report
+    assert records.run_report({}, samples=samples.limit(0)) == {}
+
+
 def test_record_files(spark, tmp_path):
     good = {"system": "s", "input": "i", "output": "o"}
     path = tmp_path / "r.jsonl"
