@@ -34,6 +34,7 @@ WIDTH, PERCENT = 5, 75
 SIDE, HALF = 12, 2
 #: Up to so many ids are broadcast to pick texts out of the scan (8 bytes each); beyond, a shuffled join does.
 BROADCAST_IDS = 1_000_000
+TASK_ROWS = 1 << 20
 
 _SEEDS = words.spread(2 * SIDE * HALF, 501)
 _ODD = words.spread(2 * SIDE * HALF, 502) | np.uint64(1)
@@ -100,9 +101,14 @@ def _checked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return runtime.written(rows.where(f"100 * both >= {PERCENT} * (sizes - both)").select("a", "b"), "links")
 
 
+def _dealt(classes: DataFrame) -> DataFrame:
+    """classes over so many tasks that each makes about TASK_ROWS rows of tables, which its partial aggregate can hold."""
+    return classes.select("id", "left", "right").repartition(max(1, -(-classes.count() * SIDE * SIDE // TASK_ROWS)))
+
+
 def _tables(classes: DataFrame) -> DataFrame:
     """(key, id, diagonal) for every class and table; diagonal where i = j."""
-    sides = classes.select("id", "right", F.posexplode_outer("left").alias("i", "l"))
+    sides = _dealt(classes).select("id", "right", F.posexplode_outer("left").alias("i", "l"))
     tables = sides.select("id", "i", "l", F.posexplode_outer("right").alias("j", "r"))
     return tables.select(F.xxhash64("i", "l", "j", "r").alias("key"), "id", (F.col("i") == F.col("j")).alias("diagonal"))
 
