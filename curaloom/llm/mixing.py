@@ -46,7 +46,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     """source and source_size to target: the share by weight, the excess over the cap reshared by weight until none is left.
 
     In order of cap / weight the capped sources come first, so running sums over this order find them.
-    One row a source; the windows run over these only.
+    A null source takes its weight as the last one; a source of size 0 gets 0. No sources give no rows.
+    One row a source; the windows run over these only, in one task.
     """
     weight = F.element_at(F.array(*(F.lit(w) for w in WEIGHTS)), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(WEIGHTS) + 1).cast("int"))
     rows = sizes.withColumn("weight", weight).withColumn("most", F.col("source_size") * MOST_EPOCHS)

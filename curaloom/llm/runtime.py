@@ -13,6 +13,7 @@ BATCH_BYTES = "8m"
 
 
 def bound_batches(spark: SparkSession) -> None:
+    """For the session, not for a call: plans run long after they are built."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
