@@ -184,6 +184,14 @@ def evaluated(records: DataFrame, who, config: c.HarnessConfig = c.HarnessConfig
     return done.select("source_id", "cwe", "response", "format_ok", "compiles", "vuln_fixed", "score", details)
 
 
+def repaired(rows: DataFrame, who, config: c.HarnessConfig = c.HarnessConfig(), rules: str | None = None) -> DataFrame:
+    """What a client makes of code (vulnerable_code, cwe, source_id): evaluated's columns and code, the response itself where it holds none."""
+    asked = rows.withColumn("cwe", t.cwe_strict(F.col("cwe")))
+    records = splitting.triplets(asked.withColumn("fixed_code", F.lit("")).withColumn("kind", F.lit("fix"))).withColumn("output", F.lit(""))
+    done = evaluated(records, who, config, rules)
+    return done.withColumn("code", F.coalesce(t.java_code(F.col("response")), "response"))
+
+
 def generation_prompt(cwe: Column, seed: Column) -> Column:
     described = F.element_at(F.create_map(*(F.lit(x) for kv in c.CWE_DESCRIPTIONS.items() for x in kv)), cwe)
     out = F.lit(GEN_TEMPLATE)

@@ -10,6 +10,7 @@ import csv
 import io
 import logging
 import os
+import re
 from functools import reduce
 
 import pandas as pd
@@ -55,6 +56,11 @@ def numbered(rows: DataFrame, order: str) -> DataFrame:
     return rows.join(sizes, "_block").withColumn("seq", F.col("_before") + F.row_number().over(Window.partitionBy("_block").orderBy(order))).drop("_block", "_before")
 
 
+def _literal(path: str) -> str:
+    """A path whose characters stand for themselves."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def csv_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of all *.csv below folder; files without the three columns are skipped with a warning, short rows fail.
 
@@ -160,14 +166,14 @@ def cve_rows(spark: SparkSession, folder: str) -> DataFrame:
         paths.setdefault(r["kind"], []).append(r["path"])
     parts = []
     if "jsonl" in paths:
-        lines = _placed(spark.read.text(paths["jsonl"]).where(text.strip(F.col("value")) != ""), F.try_parse_json("value").alias("value"))
+        lines = _placed(spark.read.text([_literal(p) for p in paths["jsonl"]]).where(text.strip(F.col("value")) != ""), F.try_parse_json("value").alias("value"))
         parts.append(_numbered_lines(lines))
     if "json" in paths:
-        whole = spark.read.text(paths["json"], wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("value"))
+        whole = spark.read.text([_literal(p) for p in paths["json"]], wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("value"))
         items = F.coalesce(F.try_variant_get("value", "$", "array<variant>"), F.array("value"))
         parts.append(whole.where("value is not null").select("path", F.posexplode(items).alias("row", "value")).withColumn("row", F.col("row").cast("long")))
     if "parquet" in paths:
-        table = spark.read.option("mergeSchema", "true").parquet(*paths["parquet"])
+        table = spark.read.option("mergeSchema", "true").parquet(*(_literal(p) for p in paths["parquet"]))
         parts.append(_numbered_lines(_placed(table, _as_values(table))))
     if not parts:
         return spark.createDataFrame([], "file long, row long, doc string").select("file", "row", F.try_parse_json("doc").alias("value"))

@@ -293,6 +293,22 @@ def test_readers(spark, tmp_path):
     (raw / "sub" / "a.csv").write_text("a,b\n1,2\n")
     rows = sorted(pairs.csv_pairs(spark, str(raw)).collect(), key=lambda x: x.ord)
     assert [(x.vulnerable_code, x.fixed_code, x.cwe, x.source_id) for x in rows] == [('a "q"\r\n\\n é', "b", "89", "b.csv:0"), ("", "c", "22", "b.csv:1")]
+    odd = tmp_path / "odd"
+    odd.mkdir()
+    texts = [["x\ny,z", ' "lead" ', "78"], ["'", "\\", ""], ['"', "a\r\nb", "CWE-22, 89"], ["é" * 50, "   ", "#"]]
+    for name, order in (("one [1].csv", (0, 1, 2)), ("two.csv", (2, 0, 1)), ("three.csv", (0, 1, 2))):
+        with open(odd / name, "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f)
+            w.writerow([("vulnerable_code", "fixed_code", "cwe")[k] for k in order])
+            w.writerows([t[k] for k in order] for t in texts)
+    (odd / "empty.csv").write_text("")
+    (odd / "only_head.csv").write_text("vulnerable_code,fixed_code,cwe\n")
+    rows = sorted(pairs.csv_pairs(spark, str(odd)).collect(), key=lambda x: x.ord)
+    assert [(x.vulnerable_code, x.fixed_code, x.cwe) for x in rows] == [tuple(t) for t in texts] * 3
+    assert [x.source_id for x in rows] == [f"{n}:{i}" for n in ("one [1].csv", "three.csv", "two.csv") for i in range(4)]
+    (odd / "short.csv").write_text("vulnerable_code,fixed_code,cwe\na,b,89\na\n")
+    with pytest.raises(Exception, match="short.csv:1: short row"):
+        pairs.csv_pairs(spark, str(odd)).collect()
 
     java = {
         "CWE89_SQL_01.java": SUITE.format(name="CWE89_SQL_01", sink="run(data);", extra='private void goodB2G1() throws Throwable { goodB2G1(); IO.logger.log("b2g"); }'),
@@ -399,6 +415,31 @@ def test_endpoint(spark):
     assert {x.input: x.response for x in got} == {f"i{k}": "" if k == 7 else f"m:i{k}" for k in range(30)}
 
 
+def test_repaired_code_of_a_client(spark):
+    tools = c.HarnessConfig(javac_bin="no-such-javac", semgrep_bin="no-such-semgrep")
+    rows = spark.createDataFrame([("class A {}", "CWE 89", "a"), ("no type", "78", "b")], "vulnerable_code string, cwe string, source_id string")
+    got = {x.source_id: (x.cwe, x.code, x.format_ok) for x in generate.repaired(rows, generate.client("mock:echo"), tools).collect()}
+    assert got == {"a": ("CWE-89", "class A {}", True), "b": ("CWE-78", "```java\nno type\n```", False)}
+
+
+def test_gpu_samples(spark, tmp_path):
+    from curaloom.operators import monitor
+
+    with monitor.watched(0.01, "no-such-tool") as rows:
+        pass
+    assert rows == [] and score.gpu_summary(monitor.frame(spark, rows)).count() == 0
+    tool = tmp_path / "smi"
+    card = {monitor.USED_BYTES: str(140 * 2**30), monitor.BUSY_PERCENT: "80"}
+    tool.write_text(f"#!/bin/sh\necho '{json.dumps({'card0': card, 'system': {'x': '1'}})}'\n")
+    tool.chmod(0o755)
+    with monitor.watched(60, str(tool)) as rows:
+        pass
+    assert [x[1:] for x in rows] == [(140.0, 80.0)] * 2
+    assert score.gpu_summary(monitor.frame(spark, rows)).first().vram_used_gb_max == 140
+    tool.write_text("#!/bin/sh\necho broken\n")
+    assert monitor.samples(str(tool)) == []
+
+
 def test_run_report(spark, tmp_path):
     samples = spark.createDataFrame([(0.0, 100.0, 70.0), (1.0, 140.0, 90.0)], "t double, vram_used_gb double, gpu_busy_pct double")
     report = records.run_report({"epochs": 3}, 0.5, list(range(60)), {"t": "1"}, samples)
