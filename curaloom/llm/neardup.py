@@ -319,23 +319,23 @@ def _with_components(rows: DataFrame, classes: DataFrame, roots: DataFrame | Non
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "sig", "root")
 
 
+def _named(docs: DataFrame) -> list:
+    return [F.col(f"`{x}`") for x in docs.columns]
+
+
 def _chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """docs semi- or anti-joined with ids, broadcast where few."""
-    return docs.join(_few(ids), "doc_id", how).select(*docs.columns)
+    return docs.join(_few(ids), "doc_id", how).select(*_named(docs))
 
 
 def _signed(docs: DataFrame, name: str) -> DataFrame:
     """docs with the signature of each row's set under name, null for an empty one."""
-    text = runtime.free_name(docs, "utf8", name)
-
-    def run(batches):
-        for batch in batches:
-            sets = words.shingle_sets([t or b"" for t in batch.column(text).to_pylist()], WIDTH)
-            kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != text]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in kept), pa.array([_signature(s) if s.size else None for s in sets], pa.binary())], names=[*(n for n, _ in kept), name])
+    def run(columns):
+        sets = words.shingle_sets([t or b"" for t in columns[-1].to_pylist()], WIDTH)
+        return [*columns[:-1], pa.array([_signature(s) if s.size else None for s in sets], pa.binary())]
 
-    rows = docs.withColumn(text, F.col("text").cast("string").cast("binary"))
-    return rows.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+    rows = docs.withColumn(runtime.free_name(docs, "utf8"), F.col("text").cast("string").cast("binary"))
+    return runtime.map_in_arrow(rows, run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -355,4 +355,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("sig").alias("stay_sig"))
     mine = _signed(_chosen(docs, twice, "left_semi"), name).dropDuplicates(["doc_id", name])
     mine = mine.join(stay, (mine["doc_id"] == stay["stay_id"]) & mine[name].eqNullSafe(stay["stay_sig"]), "left_semi")
-    return out.unionByName(mine.select(*docs.columns))
+    return out.unionByName(mine.select(*_named(docs)))

@@ -22,6 +22,7 @@ from bisect import bisect_right
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from curaloom.llm import runtime
 
@@ -296,11 +297,13 @@ def redacted(docs: DataFrame) -> DataFrame:
     """docs with every span of its texts replaced by <EMAIL>, <IP>, <CARD> or <PHONE>; n_chars, if there, follows. Null texts stay null."""
     runtime.bound_batches(docs.sparkSession)
 
-    def run(batches):
-        for batch in batches:
-            text = [None if t is None else redact(t.decode("utf-8", "replace")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
+    at = docs.columns.index("text")
+
+    def run(columns):
+        columns[at] = pa.array([None if t is None else redact(t.decode("utf-8", "replace")) for t in columns[at].to_pylist()], pa.string())
+        return columns
 
     rows = docs.withColumn("text", F.col("text").cast("string").cast("binary"))
-    out = rows.mapInArrow(run, docs.schema)
+    schema = StructType([StructField(f.name, StringType()) if f.name == "text" else f for f in docs.schema.fields])
+    out = runtime.map_in_arrow(rows, run, schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -268,28 +268,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(vectors, train(x, y, share[y.astype(int)]))
 
 
-def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """docs with the score appended under name, which must be free; nulls score as empty texts."""
+def _scorer(docs: DataFrame, model: Model):
+    """A function from an Arrow column of texts to one of scores, for workers; nulls score as empty texts."""
     spark = docs.sparkSession
     runtime.bound_batches(spark)
     shipped = spark.sparkContext.broadcast((model.vectors, model.net))
-    utf8 = runtime.free_name(docs, "utf8", name)
+    return lambda texts: pa.array(Model(*shipped.value)([t or b"" for t in texts.cast(pa.binary()).to_pylist()]), pa.float64())
 
-    def run(batches):
-        mine = Model(*shipped.value)
-        for batch in batches:
-            score = mine([t or b"" for t in batch.column(utf8).to_pylist()])
-            kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != utf8]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in kept), pa.array(score, pa.float64())], names=[*(n for n, _ in kept), name])
 
-    rows = docs.withColumn(utf8, _text(docs))
-    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
-    return rows.mapInArrow(run, schema)
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """docs with the score appended under name, which must be free; nulls score as empty texts, and texts come out as strings."""
+    score, at = _scorer(docs, model), docs.columns.index("text")
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    return runtime.map_in_arrow(rows, lambda columns: [*columns, score(columns[at])], StructType([*rows.schema.fields, StructField(name, DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs."""
-    rows = scored(docs.select("doc_id", "text"), fit(docs, labels))
+    score = _scorer(docs, fit(docs, labels))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = runtime.map_in_arrow(rows, lambda columns: [columns[0], score(columns[1])], StructType([rows.schema["doc_id"], StructField("score", DoubleType())]))
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 

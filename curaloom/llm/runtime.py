@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from curaloom.storage import fresh_path, shared_folder, written
 
-__all__ = ["bound_batches", "free_name", "fresh_path", "shared_folder", "table", "written"]
+__all__ = ["bound_batches", "free_name", "fresh_path", "map_in_arrow", "shared_folder", "table", "written"]
 
 #: Arrow batches end at this many bytes, so that very long texts don't pile up in a Python worker.
 BATCH_BYTES = "8m"
@@ -27,3 +29,16 @@ def free_name(df: DataFrame, base: str, *others: str) -> str:
     while base.lower() in taken:
         base = f"_{base}"
     return base
+
+
+def map_in_arrow(rows: DataFrame, run, schema: StructType) -> DataFrame:
+    """mapInArrow for columns of any name, dots included: run maps a batch's list of columns to a new one, of schema."""
+    names = [f"c{i}" for i in range(len(schema.fields))]
+
+    def mapped(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(run(list(batch.columns)), names=names)
+
+    plain = rows.toDF(*(f"c{i}" for i in range(len(rows.columns))))
+    safe = StructType([StructField(n, f.dataType) for n, f in zip(names, schema.fields, strict=True)])
+    return plain.mapInArrow(mapped, safe).toDF(*schema.names)

@@ -105,3 +105,17 @@ def test_mixing(spark, stages):
         by_source[r.source] += r.taken
     want = {r.source: plan[r.doc_id].target for r in stages[4]}
     assert by_source == {k: int(v) for k, v in want.items()}
+
+
+def test_stages_keep_columns_of_any_name(spark, stages):
+    """Names that the operators use themselves, and ones with dots, come out of every stage as they went in."""
+    names = ["utf8", "_utf8", "quality", "_quality", "sig", "_sig", "root", "k", "row", "h", "hits", "fp", "id", "node", "component", "kept", "n", "mine", "mine_part", "part", "cut", "_cut", "size", "_size", "last", "rest", "take", "turn", "epochs", "ordinal", "stay_id", "a.b", "y"]
+    docs = spark.createDataFrame(stages[0]).drop("n_chars")
+    docs = docs.unionByName(docs.where("doc_id < 5")).unionByName(docs.where("doc_id = 7").selectExpr("doc_id", "concat(text, ' and more') as text", "lang", "source"))
+    for x in names:
+        docs = docs.withColumn(x, cp.quality.F.lit(x))
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        rows = out.collect()
+        assert rows and all([r[x] for x in names] == names for r in rows), name
