@@ -419,7 +419,7 @@ def test_repaired_code_of_a_client(spark):
     tools = c.HarnessConfig(javac_bin="no-such-javac", semgrep_bin="no-such-semgrep")
     rows = spark.createDataFrame([("class A {}", "CWE 89", "a"), ("no type", "78", "b")], "vulnerable_code string, cwe string, source_id string")
     got = {x.source_id: (x.cwe, x.code, x.format_ok) for x in generate.repaired(rows, generate.client("mock:echo"), tools).collect()}
-    assert got == {"a": ("CWE-89", "class A {}", True), "b": ("CWE-78", "```java\nno type\n```", False)}
+    assert got == {"a": ("CWE-89", "class A {}", True), "b": ("CWE-78", "```java\nno type\n\n```", False)}
 
 
 def test_gpu_samples(spark, tmp_path):
