@@ -28,7 +28,7 @@ HIDDEN, STEPS, RATE, DECAY = 32, 400, 0.01, 1e-3
 ACCEPT = 0.7
 
 #: Slots whose sums travel together, and words that are looked at together.
-_BLOCK, _AT_ONCE = 64, 1 << 18
+_BLOCK, _AT_ONCE = 64, 1 << 17
 _SPAN = DIM // NONZERO
 
 _CASES, _ENDS, _LENGTHS = 4, 12, 4
@@ -49,8 +49,9 @@ def _shapes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
     """A number below _KINDS for each word, by its case, last byte and length."""
     if not start.size:
         return np.empty(0, np.int64)
-    ups = np.concatenate([[0], np.cumsum(_UPPER[data])])
-    lows = np.concatenate([[0], np.cumsum(_LOWER[data])])
+    ups, lows = (np.zeros(data.size + 1, np.uint32) for _ in range(2))  # a batch is far smaller than 2**32 bytes
+    np.cumsum(_UPPER[data], out=ups[1:])
+    np.cumsum(_LOWER[data], out=lows[1:])
     stop = start + length
     up, low = ups[stop] - ups[start], lows[stop] - lows[start]
     case = np.where(up == 0, np.where(low == 0, 3, 0), np.where((up == 1) & _UPPER[data[start]], 1, 2))

@@ -11,7 +11,7 @@ from curaloom.storage import fresh_path, shared_folder, written
 __all__ = ["bound_batches", "free_name", "fresh_path", "map_in_arrow", "shared_folder", "table", "written"]
 
 #: Arrow batches end at this many bytes, so that very long texts don't pile up in a Python worker.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def bound_batches(spark: SparkSession) -> None:
