@@ -16,6 +16,7 @@ trillion bigrams one in 70,000 shares its count.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ FINE, ROUNDS = 8, 200
 HELD, FITTED, DELETED = 0, 1, 2
 
 _END, _START = words.spread(2, 901)
+_GAP = re.compile(rb"[ \t-\r]")
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _NONE = 10_000
 
@@ -52,55 +54,89 @@ def _role(doc_id: Column) -> Column:
     return F.when(held_out(doc_id), HELD).when(F.floor(_crc(doc_id) / 5) % 8 == 0, DELETED).otherwise(FITTED)
 
 
+_COLUMNS = {"doc_id": pa.int64(), "role": pa.int32(), "text": pa.large_binary(), "row": pa.int64(), "lead": pa.bool_(), "open": pa.bool_()}
+
+
+def _pieces(text: bytes) -> list[tuple[bytes, bool, bool]]:
+    """A text as pieces (text, lead, open) of about CHUNK_BYTES, cut between words.
+
+    A piece but the first leads with the word before it, which is context only; one but the last is open, without the end.
+    """
+    out, at, word = [], 0, b""
+    while True:
+        cut = _GAP.search(text, at + CHUNK_BYTES) if len(text) - at > CHUNK_BYTES else None
+        piece = text[at : cut.start()] if cut else text[at:]
+        out.append((word + b" " + piece if word else piece, bool(word), cut is not None))
+        if cut is None:
+            return out
+        word = (piece.rsplit(None, 1) or [word])[-1]
+        at = cut.start()
+
+
 def _packed(rows: list[tuple]) -> bytes:
-    """Documents (doc_id, role, text) as compressed Arrow."""
-    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.large_binary()), strict=True)], names=["doc_id", "role", "text"])
+    """Rows of _COLUMNS as compressed Arrow."""
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _COLUMNS.values(), strict=True)], names=list(_COLUMNS))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(blob: bytes) -> tuple[list, np.ndarray, list[bytes]]:
+def _unpacked(blob: bytes) -> tuple[pa.Table, np.ndarray, Grams]:
+    """The rows of a chunk, their roles, and the tokens of their texts."""
     t = pa.ipc.open_stream(blob).read_all()
-    return t.column("doc_id").to_pylist(), t.column("role").to_numpy(), t.column("text").to_pylist()
+    lead, open_ = (t.column(c).to_numpy(zero_copy_only=False) for c in ("lead", "open"))
+    return t, t.column("role").to_numpy(), Grams(t.column("text").to_pylist(), lead, open_)
 
 
 def _chunks(batches):
-    """Packs a partition's documents into chunks, the deleted ones apart; numbers are unique over partitions."""
-    open_: dict[bool, tuple[list, list]] = {False: ([], [0]), True: ([], [0])}
-    made = 0
+    """Packs a partition's documents into chunks, the deleted ones apart; numbers of chunks and rows are unique over partitions."""
+    held: dict[bool, tuple[list, list]] = {False: ([], [0]), True: ([], [0])}
+    made = seen = 0
+    names = ["chunk", "deleted", "bytes", "split", "docs"]
 
     def close(deleted: bool):
         nonlocal made
-        rows, size = open_[deleted]
-        out = pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 24) + made], pa.int64()), pa.array([deleted]), pa.array([size[0]], pa.int64()), pa.array([_packed(rows)], pa.binary())], names=["chunk", "deleted", "bytes", "docs"])
+        rows, size = held[deleted]
+        number = (TaskContext.get().partitionId() << 24) + made
+        split = any(r[4] or r[5] for r in rows)
+        out = pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([deleted]), pa.array([size[0]], pa.int64()), pa.array([split]), pa.array([_packed(rows)], pa.binary())], names=names)
         made += 1
         rows.clear()
         size[0] = 0
         return out
 
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            rows, size = open_[row[1] == DELETED]
-            rows.append((row[0], row[1], row[2] or b""))
-            size[0] += len(rows[-1][2]) + 16
-            if size[0] >= CHUNK_BYTES:
-                yield close(row[1] == DELETED)
+        for doc_id, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows, size = held[role == DELETED]
+            row = (TaskContext.get().partitionId() << 40) + seen
+            seen += 1
+            for piece, lead, more in _pieces(text or b""):
+                rows.append((doc_id, role, piece, row, lead, more))
+                size[0] += len(piece) + 16
+                if size[0] >= CHUNK_BYTES:
+                    yield close(role == DELETED)
     for deleted in (False, True):
-        if open_[deleted][0]:
+        if held[deleted][0]:
             yield close(deleted)
 
 
 class Grams:
-    """Tokens and bigrams of a chunk: distinct keys in order, each token's place in them, and the documents' bounds."""
+    """Tokens and bigrams of a chunk: distinct keys in order, each token's place in them, and the rows' bounds.
 
-    def __init__(self, texts: list[bytes]):
+    own tells the tokens that count: not the word that a piece leads with, nor the end of an open one.
+    """
+
+    def __init__(self, texts: list[bytes], lead: np.ndarray | None = None, open_: np.ndarray | None = None):
         word, bounds = words.word_hashes(texts)
         n = len(texts)
         self.edge = bounds + np.arange(n + 1)
         token = np.full(word.size + n, _END, np.uint64)
         token[np.arange(word.size) + np.repeat(np.arange(n), np.diff(bounds))] = word
+        self.own = np.ones(token.size, bool)
+        if lead is not None:
+            self.own[self.edge[:-1][lead]] = False
+            self.own[self.edge[1:][open_] - 1] = False
         before = np.empty_like(token)
         before[1:] = token[:-1]
         before[self.edge[:-1]] = _START
@@ -111,6 +147,10 @@ class Grams:
     def per_token(self, values: np.ndarray) -> np.ndarray:
         return np.repeat(values, np.diff(self.edge))
 
+    def per_row(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the values of the tokens that count."""
+        return np.add.reduceat(np.where(self.own, values, 0), self.edge[:-1])
+
 
 def _slots(keys: np.ndarray, bits: int, slots: int) -> np.ndarray:
     """Bounds of the slots, equal parts of the key range, in sorted keys."""
@@ -161,9 +201,8 @@ def _asks(slots: int):
     def run(batches):
         for batch in batches:
             for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                _, role, texts = _unpacked(blob)
-                g = Grams(texts)
-                trained, fitted = g.per_token(role != HELD), g.per_token(role == FITTED)
+                _, role, g = _unpacked(blob)
+                trained, fitted = g.own & g.per_token(role != HELD), g.own & g.per_token(role == FITTED)
                 columns = []
                 edges = [_slots(g.words, 64, slots), _slots(g.pairs, 56, slots)]
                 used = np.flatnonzero(np.diff(edges[0]) + np.diff(edges[1])).tolist()  # at most one row a key, however many slots
@@ -245,9 +284,8 @@ def _evidence(model: Model):
     def run(batches):
         for batch in batches:
             for blob, slots in _answered(batch):
-                _, role, texts = _unpacked(blob)
-                g = Grams(texts)
-                word, pair, context = _counted(g, [s[1] for s in slots], [s[2] for s in slots])
+                _, _, g = _unpacked(blob)
+                word, pair, context = (x[g.own] for x in _counted(g, [s[1] for s in slots], [s[2] for s in slots]))
                 uniform = 1 / (model.fitted_vocabulary + 1)
                 cell = (bucket(context) * (2 * _NONE) + step(pair / np.maximum(context, 1) / uniform)) * (2 * _NONE) + step(word / max(model.fitted_tokens, 1) / uniform)
                 cells, n = np.unique(cell, return_counts=True)
@@ -279,32 +317,35 @@ def _scores(model: Model):
     def run(batches):
         for batch in batches:
             for blob, slots in _answered(batch):
-                ids, role, texts = _unpacked(blob)
-                g = Grams(texts)
+                rows, role, g = _unpacked(blob)
                 word, pair, context = _counted(g, [s[1] for s in slots], [s[2] for s in slots])
                 w = model.weights[bucket(context)]
                 p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(model.tokens, 1) + w[:, 2] / (model.vocabulary + 1)
                 base = np.log10((word + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
-                start = g.edge[:-1]
+                split = np.logical_or(*(rows.column(c).to_numpy(zero_copy_only=False) for c in ("lead", "open")))
                 columns = [
-                    pa.array(ids, pa.int64()),
+                    rows.column("doc_id").combine_chunks(),
                     pa.array(role == HELD),
-                    pa.array(np.diff(g.edge), pa.int64()),
-                    pa.array(np.add.reduceat((word > 0).astype(np.int64), start), pa.int64()),
-                    pa.array(np.full(len(ids), model.tokens), pa.int64()),
-                    pa.array(np.add.reduceat(base, start), pa.float64()),
-                    pa.array(np.add.reduceat(np.log10(p), start), pa.float64()),
+                    pa.array(g.per_row(np.ones(word.size, np.int64)), pa.int64()),
+                    pa.array(g.per_row((word > 0).astype(np.int64)), pa.int64()),
+                    pa.array(np.full(len(role), model.tokens), pa.int64()),
+                    pa.array(g.per_row(base), pa.float64()),
+                    pa.array(g.per_row(np.log10(np.where(g.own, p, 1))), pa.float64()),
+                    pa.array(np.where(split, rows.column("row").to_numpy(), -1), pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*_SCORED, "row"])
 
     return run
 
 
+_SCORED = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text).
 
     Null text counts as empty: its one token is the end. Repeated rows count once each. Without training
-    documents every word is unknown.
+    documents every word is unknown. A long text is worked on in pieces and its sums are added up.
     """
     return fitted(docs)[1]
 
@@ -314,8 +355,9 @@ def fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
     spark = docs.sparkSession
     runtime.bound_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _role(docs["doc_id"]).cast("int").alias("role"), F.col("text").cast("string").cast("binary").alias("text"))
-    chunks = runtime.written(rows.mapInArrow(_chunks, "chunk long, deleted boolean, bytes long, docs binary"), "chunks")
-    n = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    chunks = runtime.written(rows.mapInArrow(_chunks, "chunk long, deleted boolean, bytes long, split boolean, docs binary"), "chunks")
+    seen = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n"), F.coalesce(F.max("split"), F.lit(False)).alias("split")).first()
+    n = seen["n"]
     slots = max(32, min(EVEN_SLOTS, math.ceil(n / SLOT_BYTES)), math.ceil(n / LARGE_SLOT_BYTES))
     asked = chunks.select("chunk", "docs").mapInArrow(_asks(slots), "chunk long, slot int, " + ", ".join(f"{k} binary" for k in _ASKED))
     answers = runtime.written(asked.groupBy("slot").applyInArrow(_answers, _ANSWER), "answers")
@@ -331,5 +373,9 @@ def fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
     found = cells.groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most BUCKETS * steps**2 cells, steps being FINE a doubling of the corpus: 3 million of 16 bytes at 10**13 words
     if found:
         model.weights = learned(np.array([r["cell"] for r in found]), np.array([r["n"] for r in found], float), model.weights)
-    out = answered(chunks, "all").mapInArrow(_scores(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return model, out
+    out = answered(chunks, "all").mapInArrow(_scores(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, row long")
+    if seen["split"]:
+        out = runtime.written(out, "scored")
+        added = [F.first(c).alias(c) if c in ("doc_id", "held_out", "train_tokens") else F.sum(c).alias(c) for c in _SCORED]
+        out = out.where("row < 0").select(*_SCORED).unionByName(out.where("row >= 0").groupBy("row").agg(*added).select(*_SCORED))
+    return model, out.select(*_SCORED)

@@ -40,8 +40,26 @@ def test_weights_are_the_maximum():
                 assert like(w) >= like(w + s * np.array(d)) - 1e-6 * abs(like(w))
 
 
-@pytest.mark.parametrize("n", [0, 300])
-def test_scores_against_brute_force(spark, n):
+def test_pieces_hold_the_words_once(monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 7)
+    r = random.Random(4)
+    for _ in range(500):
+        text = "".join(r.choice("ab é \t\n") for _ in range(r.randrange(60))).encode()
+        pieces = lm._pieces(text)
+        found, last = [], b""
+        for i, (piece, lead, more) in enumerate(pieces):
+            w = piece.split()
+            assert more == (i < len(pieces) - 1) and (not lead or w[0] == last)
+            found += w[1:] if lead else w
+            last = (found or [b""])[-1]
+        assert found == text.split()
+    assert lm._pieces(b"") == [(b"", False, False)]
+
+
+@pytest.mark.parametrize(("n", "piece"), [(0, 0), (300, 0), (300, 40)])
+def test_scores_against_brute_force(spark, monkeypatch, n, piece):
+    if piece:  # every text in many pieces
+        monkeypatch.setattr(lm, "CHUNK_BYTES", piece)
     r = random.Random(7)
     vocabulary = ["".join(r.choice("abcdE") for _ in range(r.randrange(1, 4))) for _ in range(60)]
     docs = []
