@@ -11,9 +11,12 @@ import io
 import logging
 import os
 import re
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +28,20 @@ log = logging.getLogger(__name__)
 
 SCHEMA = "vulnerable_code string, fixed_code string, cwe string, source_id string, kind string, ord long"
 _BLOCK = 65_536
-_AT_ONCE = 10_000
 _ADAPTER_BITS, _FILE_BITS = 58, 36
 
+# Of CSV files: the columns that must be there, the bytes that are parsed at once, and those of an Arrow batch.
+_NEED = ("vulnerable_code", "fixed_code", "cwe")
+_CHUNK, _BATCH_BYTES = 1 << 20, "4m"
+# The records of a line as the csv module takes them, up to a carriage return or a quoted field that the line doesn't close.
+_FIELD = rb'(?:"(?:[^"]++|"")*+"|(?!"))[^,\r]*+'
+_RECORD = re.compile(_FIELD + rb"(?:," + _FIELD + rb")*+")
+_CSV_ROWS = "file long, row long, vulnerable_code string, fixed_code string, cwe string, short boolean"
+_ROW_ARROW = pa.schema([("file", pa.int64()), ("row", pa.int64()), *((k, pa.string()) for k in _NEED), ("short", pa.bool_())])
+_PART_ARROW = pa.schema([("file", pa.int64()), ("unit", pa.int64()), ("start", pa.int64()), ("base", pa.int64()), ("part", pa.binary())])
+_BLOCK_ROWS = "key long, start long, bytes long, end0 boolean, end1 boolean, n0 long, n1 long, closes boolean, lacking string, places array<long>, cut boolean"
+_BLOCK_ARROW = pa.schema([*((k, pa.int64()) for k in ("key", "start", "bytes")), ("end0", pa.bool_()), ("end1", pa.bool_()), ("n0", pa.int64()), ("n1", pa.int64()), ("closes", pa.bool_()), ("lacking", pa.string()), ("places", pa.list_(pa.int64())), ("cut", pa.bool_())])
+
 # The names that CVE collections give a field, the preferred ones first.
 LANGUAGE = ("programming_language", "lang", "language", "file_language")
 BEFORE = ("func_before", "code_before", "before", "vulnerable_code", "source_before", "before_change", "vul_func")
@@ -61,36 +75,218 @@ def _literal(path: str) -> str:
     return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
+def _scanned(line: bytes, opened: bool) -> tuple[bool, int]:
+    """Whether a line that begins within quotes, or doesn't, ends within quotes; and how many records that aren't blank begin in it."""
+    if b'"' not in line:
+        if opened:
+            return True, 0
+        return False, sum(x != b"" for x in line.split(b"\r")) if b"\r" in line else int(line != b"")
+    n, at = 0, 0
+    if opened:
+        n, line = -1, b'"' + line
+    while (m := _RECORD.match(line, at)) is not None:
+        end = m.end()
+        if end == len(line):
+            return False, n + (end > at)
+        if line[end] != 13:  # a comma before a field that stays open
+            return True, n + 1
+        n, at = n + (end > at), end + 1
+    return True, n + 1
+
+
+def _segments(batch):
+    """(first row, row after the last) of the blocks in a batch of lines; their key columns come first."""
+    key, start = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+    cuts = (np.flatnonzero((key[1:] != key[:-1]) | (start[1:] != start[:-1])) + 1).tolist()
+    return zip([0, *cuts], [*cuts, batch.num_rows], strict=True) if batch.num_rows else ()
+
+
+def _parsed(content: bytes) -> Iterator[list[str]]:
+    csv.field_size_limit(sys.maxsize)
+    return csv.reader(io.StringIO(content.decode("utf-8"), newline=""))
+
+
+def _block_rows(batches):
+    """A row per block of a file: what it makes of either state at its start, as only the blocks before tell which one holds."""
+    out = []
+
+    def begun(key, start):
+        return {"key": key, "start": start, "bytes": 0, "end0": False, "end1": True, "n0": 0, "n1": 0, "closes": False, "head": [], "lacking": None, "places": None, "cut": False}
+
+    def ended(block):
+        if block["start"] == 0:
+            names = next(_parsed(b"\n".join(block["head"]) + b"\n"), [])
+            lacking = sorted(set(_NEED) - set(names))
+            block["lacking"] = str(lacking) if lacking else None
+            block["places"] = None if lacking else [len(names) - 1 - names[::-1].index(k) for k in _NEED]
+        out.append({k: v for k, v in block.items() if k != "head"})
+
+    block = None
+    for batch in batches:
+        for i, j in _segments(batch):
+            key, start = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            if block is None or (block["key"], block["start"]) != (key, start):
+                if block is not None:
+                    ended(block)
+                block, heading = begun(key, start), start == 0
+            for line in batch.column(2).slice(i, j - i).to_pylist():
+                both = block["end0"] == block["end1"]
+                end0, n0 = _scanned(line, block["end0"])
+                end1, n1 = (end0, n0) if both else _scanned(line, block["end1"])
+                if heading:
+                    block["head"].append(line)
+                    heading = block["cut"] = end0
+                block.update(bytes=block["bytes"] + len(line) + 1, end0=end0, end1=end1, n0=block["n0"] + n0, n1=block["n1"] + n1, closes=block["closes"] or not end1)
+    if block is not None:
+        ended(block)
+    yield pa.RecordBatch.from_pylist(out, schema=_BLOCK_ARROW)
+
+
+def _as_batch(content: bytes, file: int, base: int, places: list[int]):
+    """The rows of whole records; base is the place of the first in the file, where the header has place 0."""
+    rows = []
+    for row in _parsed(content):
+        if row:
+            if base:
+                short = len(row) <= max(places)
+                rows.append((file, base - 1, *((None,) * 3 if short else (row[k] for k in places)), short))
+            base += 1
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True) if rows else [()] * 6, _ROW_ARROW, strict=True)], schema=_ROW_ARROW)
+
+
+def _record_rows(batches):
+    """The rows of all records that lie, with those on the same lines, in one block."""
+    at, held, part, size = None, [], [], 0
+
+    for batch in batches:
+        for i, j in _segments(batch):
+            file, start, opened, before, places = (batch.column(k)[i].as_py() for k in range(5))
+            if at != (file, start):
+                if held:
+                    yield _as_batch(b"\n".join(held) + b"\n", *of)
+                at, held, part, size, of = (file, start), [], [], 0, (file, before, places)
+                now, lead, seen = opened, opened, before
+            for line in batch.column(5).slice(i, j - i).to_pylist():
+                now, n = _scanned(line, now)
+                seen += n
+                if lead:
+                    lead, of = now, (file, seen, places)
+                    continue
+                part.append(line)
+                size += len(line) + 1
+                if not now:
+                    held += part
+                    part = []
+                    if size >= _CHUNK:
+                        yield _as_batch(b"\n".join(held) + b"\n", *of)
+                        held, size, of = [], 0, (file, seen, places)
+    if held:
+        yield _as_batch(b"\n".join(held) + b"\n", *of)
+
+
+def _part_rows(batches):
+    """The parts of the records that lie in several blocks, or run to the file's end: the block where each begins, and the place there."""
+    at = None
+
+    def parts(tail):
+        if first:
+            yield owner, None, b"\n".join(first)
+        if tail:
+            yield at[1], base, b"\n".join(tail)
+
+    def batch_of(found):
+        rows = [(at[0], unit, at[1], place, content) for unit, place, content in found]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True) if rows else [()] * 5, _PART_ARROW, strict=True)], schema=_PART_ARROW)
+
+    for batch in batches:
+        for i, j in _segments(batch):
+            file, start, opened, before, _, owner_here = (batch.column(k)[i].as_py() for k in (0, 1, 2, 3, 4, 6))
+            if at != (file, start):
+                if at is not None:
+                    yield batch_of(parts(tail))
+                at, first, tail, now, lead, seen, base, owner = (file, start), [], [], opened, opened, before, before, owner_here
+            for line in batch.column(5).slice(i, j - i).to_pylist():
+                now, n = _scanned(line, now)
+                if lead:
+                    first.append(line)
+                    lead = now
+                elif now:
+                    base = base if tail else seen
+                    tail.append(line)
+                else:
+                    tail = []
+                seen += n
+    if at is not None:
+        yield batch_of(parts(tail))
+
+
+def _joined_rows(batches):
+    for batch in batches:
+        for file, base, places, ended, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield _as_batch(b"\n".join(parts) + (b"\n" if ended else b""), file, base, places)
+
+
+def _csv_states(spark: SparkSession, lines: DataFrame, files: DataFrame) -> DataFrame:
+    """What is known of each block once those before it are: (key, start, file, name, opened, before, owner, last, ended, places, lacking, cut).
+
+    A block maps either state at its start to one at its end: the last that maps both to the same one, and the number of
+    those since that swap them, tell the state at any block. A window holds the blocks of one file, a row each.
+    """
+    blocks = lines.mapInArrow(_block_rows, _BLOCK_ROWS).join(files, "key")
+    ahead = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    same, swaps = F.col("end0") == F.col("end1"), (F.col("end0") & ~F.col("end1")).cast("int")
+    blocks = blocks.withColumn("swaps", F.sum(swaps).over(upto))
+    fixed = F.last(F.when(same, F.struct(F.col("end0").cast("int").alias("v"), "swaps")), ignorenulls=True).over(ahead)
+    blocks = blocks.withColumn("fixed", fixed).withColumn("swapped", F.coalesce(F.max("swaps").over(ahead), F.lit(0)))
+    state = F.coalesce("fixed.v", F.lit(0)) + F.col("swapped") - F.coalesce("fixed.swaps", F.lit(0))
+    blocks = blocks.withColumn("opened", state % 2 == 1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum(F.when(F.col("opened"), F.col("n1")).otherwise(F.col("n0"))).over(ahead), F.lit(0)))
+    blocks = blocks.withColumn("owner", F.last(F.when(~F.col("opened") | F.col("closes"), F.col("start")), ignorenulls=True).over(ahead))
+    blocks = blocks.withColumn("last", F.when(F.col("opened"), F.col("end1")).otherwise(F.col("end0")))
+    every = Window.partitionBy("file")
+    blocks = blocks.withColumn("missing", F.col("length") - F.sum("bytes").over(every)).withColumn("cut", F.max("cut").over(every) & (F.count(F.lit(1)).over(every) > 1))
+    # the reader takes away a byte order mark, of three bytes, which is part of the first column's name
+    marked = (F.col("missing") >= 2) & F.array_contains("places", 0)
+    blocks = blocks.withColumn("lacking", F.when(marked, "['the first one, for a byte order mark']").otherwise(F.col("lacking"))).withColumn("places", F.when(~marked, F.col("places")))
+    head = [F.first(k).over(upto).alias(k) for k in ("places", "lacking")]
+    return written(blocks.select("key", "start", "file", "name", "opened", "before", "owner", "last", F.col("missing").isin(0, 3).alias("ended"), "cut", *head), "blocks")
+
+
 def csv_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of all *.csv below folder; files without the three columns are skipped with a warning, short rows fail.
 
-    A file is read by one task, since only its beginning tells which line breaks are quoted; it may have 2 GB.
+    Files of any size are read by many tasks, in blocks of lines. A first scan finds which line breaks are quoted and how
+    many records lie before each block; a second one parses chunks of records, and another joins those that lie in several
+    blocks, where there are any. A task holds a chunk, or the longest record. What is known of a block is broadcast: a
+    row for each 128 MB or file. Blocks go by 64-bit hashes of file names.
     """
-    need = ("vulnerable_code", "fixed_code", "cwe")
-    columns = [*need, "source_id", "file", "row"]
-
-    def run(frames):
-        for frame in frames:
-            for path, content, file in frame.itertuples(index=False):
-                name = path.rsplit("/", 1)[-1]
-                reader = csv.DictReader(io.StringIO(content.decode("utf-8"), newline=""))
-                lacking = sorted(set(need) - set(reader.fieldnames or ()))
-                if lacking:
-                    log.warning("%s: missing columns %s - file skipped", name, lacking)
-                    continue
-                rows = []
-                for i, row in enumerate(reader):
-                    if any(row[k] is None for k in need):
-                        raise ValueError(f"{name}:{i}: short row")
-                    rows.append((*(row[k] for k in need), f"{name}:{i}", file, i))
-                    if len(rows) == _AT_ONCE:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows.clear()
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
-
-    rows = _files(spark, folder, "*.csv").mapInPandas(run, "vulnerable_code string, fixed_code string, cwe string, source_id string, file long, row long")
-    return rows.select(*need, "source_id", F.lit("fix").alias("kind"), _order(0, F.col("file"), F.col("row")))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)  # for the session: plans run long after they are built
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+    files = spark.read.format("binaryFile").options(**options).load(folder).select("path", "length", F.xxhash64(F.col("_metadata.file_path")).alias("key"))
+    names = F.element_at(F.split("path", "/"), -1).alias("name")
+    files = files.select("key", "length", names, (F.row_number().over(Window.orderBy("path")) - 1).cast("long").alias("file"))  # names only
+    files = written(files, "files")
+    read = spark.read.options(**options).option("lineSep", "\n").text(folder)
+    lines = read.select(F.xxhash64(F.col("_metadata.file_path")).alias("key"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    states = _csv_states(spark, lines, files)
+    for bad in states.where("cut").select("name").limit(1).collect():
+        raise ValueError(f"{bad['name']}: the header doesn't end in the file's first block")
+    lacking = files.join(states.where("start = 0").select("file", "lacking", "places"), "file", "left").where("places is null")
+    for bad in lacking.select("name", F.coalesce("lacking", F.lit(str(sorted(_NEED)))).alias("lacking")).limit(20).collect():
+        log.warning("%s: missing columns %s - file skipped", bad["name"], bad["lacking"])
+    good = states.where("places is not null")
+    known = F.broadcast(good.select("key", "start", "file", "opened", "before", "places", "owner"))
+    lines = lines.join(known, ["key", "start"]).select("file", "start", "opened", "before", "places", "line", "owner")
+    rows = lines.mapInArrow(_record_rows, _CSV_ROWS)
+    if not good.where("opened or last").isEmpty():
+        parts = lines.mapInArrow(_part_rows, "file long, unit long, start long, base long, part binary")
+        whole = parts.groupBy("file", "unit").agg(F.max("base").alias("base"), F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
+        head = good.where("start = 0").select("file", "places", "ended")
+        rows = rows.unionByName(whole.join(head, "file").select("file", "base", "places", "ended", "parts.part").mapInArrow(_joined_rows, _CSV_ROWS))
+    rows = rows.join(files.select("file", "name"), "file").withColumn("source_id", F.concat("name", F.lit(":"), F.col("row").cast("string")))
+    rows = rows.where(F.when(F.col("short"), F.raise_error(F.concat("source_id", F.lit(": short row"))).cast("boolean")).otherwise(F.lit(True)))
+    return rows.select(*_NEED, "source_id", F.lit("fix").alias("kind"), _order(0, F.col("file"), F.col("row")))
 
 
 def java_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -466,6 +466,35 @@ def test_record_files(spark, tmp_path):
     assert [x.vulnerable_code for x in records.seeds(spark, str(path)).collect()] == ["a"]
 
 
+def test_csv_files_are_read_in_blocks(spark, tmp_path):
+    """Records over line breaks and blocks, odd quotes, fields beyond the csv module's default limit; many tasks read one file."""
+    long, odd = "x\r\n\"y\", " * 20_000, ['a"b,"c ""d"" e"z,f\r\n', "\n\r\n", "g,\"h\n\n\",i\rj,k,l\n"]
+    for n, last in enumerate(["", "m,n,o", 'm,n,"o', 'm,n,"o\n']):
+        with open(tmp_path / f"{n}.csv", "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f)
+            w.writerow([("vulnerable_code", "fixed_code", "cwe")[(n + k) % 3] for k in range(3)])
+            for i in range(300):
+                w.writerow([f"é{i}\n" * (i % 40), f'"{i}', long if i == 150 else ","])
+                f.write(odd[i % 3])
+            f.write(last)
+    limit = csv.field_size_limit(10**9)
+    want = []
+    for n in range(4):
+        with open(tmp_path / f"{n}.csv", newline="", encoding="utf-8") as f:
+            want += [(x["vulnerable_code"], x["fixed_code"], x["cwe"], f"{n}.csv:{i}") for i, x in enumerate(csv.DictReader(f))]
+    csv.field_size_limit(limit)
+    (tmp_path / "marked.csv").write_bytes(b"\xef\xbb\xbfcwe,vulnerable_code,fixed_code\na,b,c\n")
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = pairs.csv_pairs(spark, str(tmp_path))
+        got = sorted(rows.withColumn("task", F.spark_partition_id()).collect(), key=lambda x: x.ord)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    assert [(x.vulnerable_code, x.fixed_code, x.cwe, x.source_id) for x in got] == want
+    assert len({x.task for x in got if x.source_id.startswith("0.csv")}) > 2
+
+
 def test_build_end_to_end(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
     raw.mkdir()
