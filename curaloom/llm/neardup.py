@@ -135,23 +135,24 @@ def _crowded(classes: DataFrame, buckets: DataFrame) -> DataFrame:
 
 
 def _ends(rows: DataFrame, within: list[str], order: str) -> tuple[DataFrame, DataFrame]:
-    """Of rows (key, id, ...): pairs of each id with the first of its group and with the one before; and the first rows."""
+    """Of rows (key, id, ...): each id with c, the first of its group, and p, the one before; and the first rows."""
     w = Window.partitionBy(*within).orderBy(order, "id")
     seen = rows.withColumn("c", F.first("id").over(w)).withColumn("p", F.lag("id", 1).over(w))
-    pairs = seen.where("p is not null").select("id", F.explode(F.array_distinct(F.array("c", "p"))).alias("o"))
-    return pairs, seen.where("p is null").select(*rows.columns)
+    return seen.where("p is not null").select("id", "c", "p"), seen.where("p is null").select(*rows.columns)
 
 
 def _paired(rows: DataFrame, salts: int, turn: int = 0) -> DataFrame:
-    """Pairs (a, b), a < b, each once, that connect all ids of every bucket of rows (key, id), in two levels of groups.
+    """Pairs (a, b), a < b, that connect all ids of every bucket of rows (key, id), in two levels of groups.
 
     With turn 0 the order is that of the ids, so that tables with the same members give the same pairs; else a random one.
+    An id has the same neighbours in many tables: they are told apart before they become pairs.
     """
     order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
     dealt = rows.select("key", "id", order.alias("order"), F.pmod(F.xxhash64("id", F.lit(-1 - turn)), F.lit(salts)).alias("salt"))
     inner, heads = _ends(dealt, ["key", "salt"], "order")
     outer, _ = _ends(heads.drop("salt"), ["key"], "order")
-    pairs = inner.unionByName(outer)
+    near = inner.unionByName(outer).groupBy("id", "c", "p").agg(F.count(F.lit(1)).alias("tables"))
+    pairs = near.select("id", F.explode(F.array_distinct(F.array("c", "p"))).alias("o"))
     return pairs.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b"))
 
 

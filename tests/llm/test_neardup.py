@@ -145,6 +145,13 @@ def test_pairs_of_a_bucket_connect_it(spark, salts):
             assert ids <= seen
 
 
+def test_tables_with_the_same_members_make_their_pairs_once(spark):
+    frame = spark.createDataFrame([(k, i) for k in range(40) for i in range(30)], "key long, id long")
+    for turn in (0, 2):
+        pairs = sorted(map(tuple, neardup._paired(frame.where("key < 1"), 6, turn).collect()))
+        assert sorted(map(tuple, neardup._paired(frame, 6, turn).collect())) == pairs
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)
