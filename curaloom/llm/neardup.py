@@ -8,13 +8,16 @@ threshold of 0.75 one in 10,000, at 0.85 one in two million.
 Documents with equal shingle sets are one class. Buckets of up to three classes give all their pairs, from
 partial aggregates of their ids. Larger ones are crowded: their classes are dealt to sub-buckets by a hash,
 where each is paired with the first and with the one before, and so are the first ones of the sub-buckets, so
-neither a task nor a set meets more than about the square root of a bucket. One partner of each class is
-verified first; pairs that those links already connect need no check. While crowded buckets hold several
-components, every component of a bucket sends one random member a round, paired in the same way, until a
-round links nothing more; these rounds use the SIDE tables that combine equally numbered half-keys. The
-classes of buckets, of any table, that hold several components even then are joined exactly on their rarest
-shingles, and what is close enough is verified: no link between classes that meet in a bucket depends on the
-rounds. The sets of all classes that meet others are written once; every check reads those it needs.
+neither a task nor a set meets more than about the square root of a bucket. Only the SIDE tables that combine
+equally numbered half-keys are paired so: a class gets no more than 2 * SIDE partners, however large its
+buckets. One partner of each class is verified first; pairs that those links already connect need no check.
+While crowded buckets hold several components, every component of a bucket sends one random member a round,
+paired in the same way, until a round links less than one in YIELD of its pairs. The classes of buckets, of
+any table, that hold several components even then are joined exactly on their rarest shingles, and what is
+close enough is verified: no link between classes that meet in a bucket depends on the tables paired or on the
+rounds. Before, up to DRAWN rows of a component stand for it at each shingle, again until little links, as each
+late member of a large component would meet all its others. The sets of all classes that meet others are written
+once; every check reads those it needs.
 """
 
 from __future__ import annotations
@@ -32,6 +35,10 @@ from curaloom.operators.components import components
 
 WIDTH, PERCENT = 5, 75
 SIDE, HALF = 12, 2
+#: Rounds end where fewer than one in so many pairs is a link; the exact join finds the rest.
+YIELD = 100
+#: Before that join is made in full, so many rows of a component stand for it at each shingle.
+DRAWN = 16
 #: Up to so many ids are broadcast to pick texts out of the scan (8 bytes each); beyond, a shuffled join does.
 BROADCAST_IDS = 1_000_000
 TASK_ROWS = 1 << 20
@@ -217,8 +224,8 @@ def _reached(rows: DataFrame, others: DataFrame) -> DataFrame:
     return rows.join(two, "gram").where("n <= if(root = own, next, most)").select(*rows.columns)
 
 
-def _across(sets: DataFrame, unresolved: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of different components of (id, root): all that can be near-duplicates, and few others.
+def _prefixes(sets: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """(id, n, gram, reach) of the shingles by which the sets of these ids can have partners, as a written table.
 
     The shingles of a set stand in order of rarity. If the first that two sets share stands at a rank, no more than
     n - rank + 1 are shared, which is enough for partners of up to a size, its reach, only. The larger set thus has the
@@ -229,10 +236,24 @@ def _across(sets: DataFrame, unresolved: DataFrame) -> DataFrame:
     mine = Window.partitionBy("id")
     shared = grams.join(common, "gram").withColumn("later", F.row_number().over(mine.orderBy("df", "gram"))).withColumn("m", F.count(F.lit(1)).over(mine))
     reach = F.expr(f"(n - rank + 1) * {100 + PERCENT} div {PERCENT} - n")
-    prefix = shared.withColumn("rank", F.expr("n - m + later")).withColumn("reach", reach).where(f"reach * 100 >= n * {PERCENT}").join(unresolved, "id")
-    prefix = runtime.written(prefix.select("id", "n", "gram", "reach", "root"), "prefixes")
-    short = prefix.where("reach >= n")
-    left, right = _reached(short, prefix).alias("x"), _reached(prefix, short).alias("y")
+    prefix = shared.withColumn("rank", F.expr("n - m + later")).withColumn("reach", reach).where(f"reach * 100 >= n * {PERCENT}")
+    return runtime.written(prefix.select("id", "n", "gram", "reach"), "prefixes")
+
+
+def _drawn(rows: DataFrame, turn: int) -> DataFrame:
+    """Up to DRAWN random rows of every component of every shingle."""
+    part = F.pmod(F.xxhash64("id", F.lit(-turn)), F.lit(DRAWN))
+    draw = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n", "reach")).alias("d")
+    return rows.groupBy("gram", "root", part).agg(draw).select("d.id", "d.n", "gram", "d.reach", "root")
+
+
+def _across(prefix: DataFrame, roots: DataFrame, turn: int = 0) -> DataFrame:
+    """Pairs (a, b), a < b, of different components: all that can be near-duplicates, and few others; with a turn, of drawn rows only."""
+    named = prefix.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    short = named.where("reach >= n")
+    if turn:
+        named, short = _drawn(named, turn), _drawn(short, turn)
+    left, right = _reached(short, named).alias("x"), _reached(named, short).alias("y")
     close = f"x.n * 100 >= y.n * {PERCENT} and y.n <= x.reach and x.n <= y.reach and (x.n < y.n or x.n = y.n and x.id < y.id)"
     pairs = left.join(right, F.expr(f"x.gram = y.gram and x.root <> y.root and {close}"))
     return _distinct(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
@@ -278,8 +299,10 @@ def _labelled(docs: DataFrame) -> DataFrame:
         return _with_components(rows, classes, None)
     salts = math.ceil(math.sqrt(most))
     crowded = _crowded(classes, buckets)
-    pairs = runtime.written(_distinct(_small(buckets).unionByName(_paired(crowded, salts))), "pairs")
-    sets = _sets_of(docs, rows, classes, runtime.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"))
+    paired = crowded.where("diagonal")
+    pairs = runtime.written(_distinct(_small(buckets).unionByName(_paired(paired, salts))), "pairs")
+    meeting = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowded.select("id"))
+    sets = _sets_of(docs, rows, classes, runtime.written(meeting.distinct(), "ids"))
 
     # one partner for each class first; most of what remains is then connected already
     one = runtime.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one", pairs.count())
@@ -287,20 +310,34 @@ def _labelled(docs: DataFrame) -> DataFrame:
     rest = runtime.written(_apart(pairs.join(one, ["a", "b"], "left_anti"), roots).select("a", "b"), "rest", pairs.count())
     turn = 0
     while True:
-        if not rest.isEmpty():
+        tried, found = rest.count(), 0
+        if tried:
             more = _checked(sets, rest)
-            if turn and more.isEmpty():
-                break
-            roots = _joined(roots, more)
-        elif turn:
+            found = more.count()
+            if found:
+                roots = _joined(roots, more)
+        if turn and found * YIELD <= tried:
             break
         turn += 1
-        again = _distinct(_paired(_delegates(crowded.where("diagonal"), roots, turn), salts, turn))
+        again = _distinct(_paired(_delegates(paired, roots, turn), salts, turn))
         rest = runtime.written(again.join(pairs, ["a", "b"], "left_anti"), "rest")
         pairs = pairs.unionByName(rest)
     unresolved = _unresolved(crowded, roots)
     if not unresolved.isEmpty():
-        last = runtime.written(_across(sets, unresolved).join(pairs, ["a", "b"], "left_anti"), "last")
+        prefix = _prefixes(sets, unresolved)
+        while True:
+            turn += 1
+            some = runtime.written(_across(prefix, roots, turn).join(pairs, ["a", "b"], "left_anti"), "some")
+            pairs = pairs.unionByName(some)
+            tried, found = some.count(), 0
+            if tried:
+                more = _checked(sets, some)
+                found = more.count()
+                if found:
+                    roots = _joined(roots, more)
+            if found * YIELD <= tried:
+                break
+        last = runtime.written(_across(prefix, roots).join(pairs, ["a", "b"], "left_anti"), "last")
         roots = _joined(roots, _checked(sets, last))
     return _with_components(rows, classes, roots)
 

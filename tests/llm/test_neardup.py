@@ -152,6 +152,23 @@ def test_tables_with_the_same_members_make_their_pairs_once(spark):
         assert sorted(map(tuple, neardup._paired(frame, 6, turn).collect())) == pairs
 
 
+def test_partners_of_a_class_are_bounded_whatever_its_family(spark, monkeypatch):
+    """A family larger than a group in all tables: no class gets more than 2 * SIDE rows of partners a turn, and all are linked."""
+    r = random.Random(8)
+    base = [f"w{r.getrandbits(40)}" for _ in range(100)]
+    rows = []
+    for d in range(900):
+        w = list(base)
+        for _ in range(r.randrange(1, 4)):
+            w[r.randrange(100)] = f"x{r.getrandbits(40)}"
+        rows.append((d, " ".join(w)))
+    made, paired = [], neardup._paired
+    monkeypatch.setattr(neardup, "_paired", lambda *x: made.append(paired(*x)) or made[-1])
+    got = sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows)
+    assert max(x.count() for x in made) <= 2 * neardup.SIDE * 900
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)
