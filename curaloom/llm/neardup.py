@@ -15,9 +15,9 @@ While crowded buckets hold several components, every component of a bucket sends
 paired in the same way, until a round links less than one in YIELD of its pairs. The classes of buckets, of
 any table, that hold several components even then are joined exactly on their rarest shingles, and what is
 close enough is verified: no link between classes that meet in a bucket depends on the tables paired or on the
-rounds. Before, up to DRAWN rows of a component stand for it at each shingle, again until little links, as each
-late member of a large component would meet all its others. The sets of all classes that meet others are written
-once; every check reads those it needs.
+rounds. Before, up to DRAWN rows of a component stand for it at each shingle, as each late member of a large
+component would meet all its others. The sets of all classes that meet others are written once; every check
+reads those it needs.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ SIDE, HALF = 12, 2
 #: Rounds end where fewer than one in so many pairs is a link; the exact join finds the rest.
 YIELD = 100
 #: Before that join is made in full, so many rows of a component stand for it at each shingle.
-DRAWN = 16
+DRAWN = 128
 #: Up to so many ids are broadcast to pick texts out of the scan (8 bytes each); beyond, a shuffled join does.
 BROADCAST_IDS = 1_000_000
 TASK_ROWS = 1 << 20
@@ -325,18 +325,9 @@ def _labelled(docs: DataFrame) -> DataFrame:
     unresolved = _unresolved(crowded, roots)
     if not unresolved.isEmpty():
         prefix = _prefixes(sets, unresolved)
-        while True:
-            turn += 1
-            some = runtime.written(_across(prefix, roots, turn).join(pairs, ["a", "b"], "left_anti"), "some")
-            pairs = pairs.unionByName(some)
-            tried, found = some.count(), 0
-            if tried:
-                more = _checked(sets, some)
-                found = more.count()
-                if found:
-                    roots = _joined(roots, more)
-            if found * YIELD <= tried:
-                break
+        some = runtime.written(_across(prefix, roots, turn + 1).join(pairs, ["a", "b"], "left_anti"), "some")
+        roots = _joined(roots, _checked(sets, some))
+        pairs = pairs.unionByName(some)
         last = runtime.written(_across(prefix, roots).join(pairs, ["a", "b"], "left_anti"), "last")
         roots = _joined(roots, _checked(sets, last))
     return _with_components(rows, classes, roots)

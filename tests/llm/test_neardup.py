@@ -169,6 +169,14 @@ def test_partners_of_a_class_are_bounded_whatever_its_family(spark, monkeypatch)
     assert max(x.count() for x in made) <= 2 * neardup.SIDE * 900
 
 
+def test_a_late_member_meets_some_of_a_component_before_it_meets_all(spark):
+    prefix = spark.createDataFrame([(d, 100, 7, 120) for d in range(1000)], "id long, n long, gram long, reach long")
+    roots = spark.createDataFrame([(d, 0) for d in range(1, 999)], "node long, root long")
+    some = {(x.a, x.b) for x in neardup._across(prefix, roots, 1).collect()}
+    assert {(x.a, x.b) for x in neardup._across(prefix, roots).collect()} == {(d, 999) for d in range(999)} > some
+    assert 0 < len(some) <= neardup.DRAWN
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)
