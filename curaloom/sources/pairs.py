@@ -226,6 +226,12 @@ def _joined_rows(batches):
             yield _as_batch(b"\n".join(parts) + (b"\n" if ended else b""), file, base, places)
 
 
+def _planned(rows: DataFrame) -> DataFrame:
+    """rows of files, split as now: else each later plan splits anew, by the session's settings and executors of that time."""
+    spark = rows.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows._jdf.queryExecution().toRdd(), rows._jdf.schema(), False), spark)
+
+
 def _csv_states(spark: SparkSession, lines: DataFrame, files: DataFrame) -> DataFrame:
     """What is known of each block once those before it are: (key, start, file, name, opened, before, owner, last, ended, places, lacking, cut).
 
@@ -269,6 +275,7 @@ def csv_pairs(spark: SparkSession, folder: str) -> DataFrame:
     files = written(files, "files")
     read = spark.read.options(**options).option("lineSep", "\n").text(folder)
     lines = read.select(F.xxhash64(F.col("_metadata.file_path")).alias("key"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    lines = _planned(lines)  # both scans must find the same blocks
     states = _csv_states(spark, lines, files)
     for bad in states.where("cut").select("name").limit(1).collect():
         raise ValueError(f"{bad['name']}: the header doesn't end in the file's first block")

@@ -147,8 +147,9 @@ def write_results(results: DataFrame, path: str) -> None:
 
 
 def write_pairs(rows: DataFrame, path: str) -> None:
-    """Generated pairs as CSV that the pair reader takes."""
-    rows.select("vulnerable_code", "fixed_code", "cwe").write.mode("overwrite").option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
+    """Generated pairs as CSV that the pair reader takes; white space at the edges of a text, which Spark's writer drops by default, stays."""
+    kept = {"quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.select("vulnerable_code", "fixed_code", "cwe").write.mode("overwrite").option("header", "true").options(**kept).csv(path)
 
 
 def stats_table(stats: dict, drops: dict[str, int] | None = None) -> str:

@@ -495,6 +495,30 @@ def test_csv_files_are_read_in_blocks(spark, tmp_path):
     assert len({x.task for x in got if x.source_id.startswith("0.csv")}) > 2
 
 
+def test_written_pairs_come_back_whole(spark, tmp_path):
+    """White space at the edges of a text, an empty text and odd quotes survive the CSV file."""
+    texts = ["", " ", "  a", "a \n", "\r\n\ta\r", "\x00a\x1f", "\n\n", ' "x"', '"', '\\" ', "\ufeffa", "b\n"]
+    rows = [(t, f'{t} "x"', " 89") for t in texts]
+    records.write_pairs(frame(spark, rows), str(tmp_path / "pairs"))
+    got = pairs.csv_pairs(spark, str(tmp_path / "pairs")).collect()
+    assert sorted((x.vulnerable_code, x.fixed_code, x.cwe) for x in got) == sorted(rows)
+
+
+def test_csv_blocks_stay_when_splits_change(spark, tmp_path):
+    """Blocks are those of the first scan, whatever the session's split size is when the rows are read."""
+    with open(tmp_path / "a.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([pairs._NEED, *((f"a\n{i}", "b" * 100, "89") for i in range(4000))])
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        rows = pairs.csv_pairs(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+        got = sorted(x.vulnerable_code for x in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    assert got == sorted(f"a\n{i}" for i in range(4000))
+
+
 def test_build_end_to_end(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
     raw.mkdir()
